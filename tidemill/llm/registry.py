@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import secrets
+from . import pii, secrets
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op9_secret_scan": secrets.op9_secret_scan,
 }
 
