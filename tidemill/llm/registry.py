@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import pii, secrets
+from . import mixing, pii, secrets
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op4_mixing": mixing.op4_mixing,
     "op9_secret_scan": secrets.op9_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.OP4_SQL,
+}
