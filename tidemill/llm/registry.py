@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, pii, secrets
+from . import mixing, neighbours, pii, secrets, topk
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_threshold_topk": topk.op2_threshold_topk,
+    "op3_projected_neighbours": neighbours.op3_projected_neighbours,
     "op4_mixing": mixing.op4_mixing,
     "op9_secret_scan": secrets.op9_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_threshold_topk": topk.OP2_SQL,
     "op4_mixing": mixing.OP4_SQL,
 }
