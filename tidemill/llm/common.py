@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,12 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], Iterator[dict[str
     return small_batches(df).mapInArrow(run, schema)
 
 
+@F.pandas_udf(T.LongType())
+def n_words(text: pd.Series) -> pd.Series:
+    """Words (runs of anything but ASCII white space) of each text; 0 for null."""
+    return pd.Series([0 if t is None else len(t.encode("utf-8", "surrogatepass").split()) for t in text], dtype="int64")
+
+
 def spans_text(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

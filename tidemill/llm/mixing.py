@@ -24,6 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 from . import common
@@ -77,9 +78,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     ``rounds`` full copies are taken and, if ``taken`` > rounds * size, the first taken - rounds * size words once more.
     ``position`` is the training time of the first copy; null if nothing is taken.
     """
-    size = F.coalesce(F.regexp_count(text_col, F.lit(common.WORD)), F.lit(0)).cast("long")
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    sized = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), order.alias("order"), *extra), "mix-sizes")
+    sized = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), common.n_words(F.col(text_col)).alias("size"), order.alias("order"), *extra), "mix-sizes")
     digits = max(0, math.ceil(math.log(max(1, sized.count() / bucket_rows), 16)))
     sized = sized.withColumn("bucket", F.substring("order", 1, digits) if digits else F.lit(""))
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -111,7 +111,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     boxed = docs.select(F.col(id_col), F.col(text_col), F.col(source_col), F.struct(*docs.columns).alias("row_of_doc"))
     taken = plan(boxed, id_col, text_col, source_col, extra=("row_of_doc",), **how).where("taken > 0")
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def cut(text: pd.Series, words: pd.Series) -> pd.Series:
         import re
 
