@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import language, mixing, neighbours, packing, pii, secrets, topk
+from . import language, mixing, neighbours, packing, pii, secrets, simhash, topk
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_threshold_topk": topk.op2_threshold_topk,
     "op3_projected_neighbours": neighbours.op3_projected_neighbours,
     "op4_mixing": mixing.op4_mixing,
+    "op6_simhash": simhash.op6_simhash,
     "op8_language": language.op8_language,
     "op10_packing": packing.op10_packing,
     "op9_secret_scan": secrets.op9_secret_scan,
