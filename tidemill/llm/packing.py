@@ -18,9 +18,11 @@ result: the partition's number in the upper bits.
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,68 +40,87 @@ CUT_CLASSES = 32
 #: A piece that fills this share of its class's length isn't cut further.
 NEARLY = 0.99
 END = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_500_000
+#: Letters between ASCII marks, which are pieces of their own; apostrophes are left out, as they bind letters.
+FRAMED = re.compile(r"([!-&(-/:-@\[-`{-~]*)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)\Z")
+SPECIAL = re.compile(r"<\|(?:startoftext|endoftext)\|>")
 
 
 class Words:
     """ids (little-endian, four bytes each) of whole words."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: For words of lower-case letters only: the same model without what such words don't need.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        plain, split, odd = set(), [], []
+        known, cores, marks = self.known, self.cores, self.marks
+        split, new = [], set()
         for w in words:
             s = w.decode("utf-8", "surrogatepass")
-            head = s.rstrip(".,;:!?")
-            tail = s[len(head) :]
-            low = head.lower()
-            # letters only, before and after normalisation: one piece of text to the vocabulary, wherever it stands
-            if head and low.isalpha() and unicodedata.normalize("NFC", low) == low and unicodedata.normalize("NFC", head) == head:
-                plain.add(head)
-                split.append((w, head, tail))
-            else:
-                odd.append((w, s))
-        ids = self.in_bulk(list(plain))
-        ends = {t: self.encode(t) if t else b"" for t in {t for _, _, t in split}}
-        for w, head, tail in split:
-            self.known[w] = ids[head] + ends[tail]
-        for w, s in odd:
-            self.known[w] = self.encode(s)
+            if (m := FRAMED.match(s)) and not ("<|" in s and SPECIAL.search(s)):
+                before, core, after = m.groups()
+                low = core.lower()
+                # letters only, before and after normalisation: one piece of text to the vocabulary, wherever it stands
+                # (the vocabulary lowers letter by letter; only a capital sigma is lowered by its place)
+                if core.isascii() or ("Σ" not in core and low.isalpha() and unicodedata.is_normalized("NFC", core) and unicodedata.is_normalized("NFC", low)):
+                    if low not in cores:
+                        new.add(low)
+                    split.append((w, before, low, after))
+                    continue
+            known[w] = self.encode(s)
+        fresh = self.in_bulk(list(new))
+        for w, before, low, after in split:
+            ids = fresh.get(low) or cores[low]
+            if before or after:
+                for mark in (before, after):
+                    if mark not in marks:
+                        if len(marks) > 10_000:
+                            marks.clear()
+                            marks[""] = b""
+                        marks[mark] = self.encode(mark)
+                ids = marks[before] + ids + marks[after] if before in marks else self.encode(before) + ids + marks[after]
+            known[w] = ids
+        if len(cores) + len(fresh) <= CACHE_WORDS:
+            cores |= fresh
 
     def in_bulk(self, words: list[str]) -> dict[str, bytes]:
         out = {}
         for a in range(0, len(words), 2000):
             some = words[a : a + 2000]
-            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            got = self.plain.encode(" ".join(some), add_special_tokens=False)
             of = np.array(got.word_ids)
-            if len(of) and of[-1] + 1 == len(some):
-                ids, cuts = np.array(got.ids, "<u4"), np.searchsorted(of, np.arange(len(some) + 1))
-                raw = ids.tobytes()
-                out |= {w: raw[4 * cuts[i] : 4 * cuts[i + 1]] for i, w in enumerate(some)}
+            if of[-1] + 1 == len(some):
+                raw, cuts = np.array(got.ids, "<u4").tobytes(), (4 * np.searchsorted(of, np.arange(len(some) + 1))).tolist()
+                out |= zip(some, [raw[i:j] for i, j in zip(cuts, cuts[1:])])
             else:
                 out |= {w: self.encode(w) for w in some}
         return out
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        for a in range(0, len(texts), 64):
-            split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[a : a + 64]]
-            missing = {w for words in split for w in words if w not in self.known}
+        known = self.known
+        for a in range(0, len(texts), 512):
+            split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[a : a + 512]]
+            missing = set(chain.from_iterable(split)).difference(known)
+            full = len(known) + len(missing) > CACHE_WORDS
             if missing:
-                size = len(self.known)
                 self.learn(missing)
-                if len(self.known) < size + len(missing):  # the cache was emptied
-                    self.learn({w for words in split for w in words if w not in self.known})
             for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
+                yield b"".join(map(known.__getitem__, words))
+            if full:  # words met first stay: frequent ones are among them
+                for w in missing:
+                    del known[w]
 
 
 @functools.cache
