@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language, mixing, neighbours, packing, pii, secrets, simhash, topk
+from . import language, mixing, neighbours, packing, pii, secrets, simhash, topk, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_projected_neighbours": neighbours.op3_projected_neighbours,
     "op4_mixing": mixing.op4_mixing,
     "op6_simhash": simhash.op6_simhash,
+    "op7_warc": warc.op7_warc,
     "op8_language": language.op8_language,
     "op10_packing": packing.op10_packing,
     "op9_secret_scan": secrets.op9_secret_scan,
@@ -18,4 +19,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_threshold_topk": topk.OP2_SQL,
     "op4_mixing": mixing.OP4_SQL,
+    "op7_warc": warc.sql(),
 }
