@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import language, mixing, neighbours, packing, pii, secrets, simhash, topk, warc
+from . import language, lm, mixing, neighbours, packing, pii, secrets, simhash, topk, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_threshold_topk": topk.op2_threshold_topk,
     "op3_projected_neighbours": neighbours.op3_projected_neighbours,
     "op4_mixing": mixing.op4_mixing,
+    "op5_pitman_yor": lm.op5_pitman_yor,
     "op6_simhash": simhash.op6_simhash,
     "op7_warc": warc.op7_warc,
     "op8_language": language.op8_language,
