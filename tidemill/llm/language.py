@@ -180,9 +180,10 @@ def identify(docs: DataFrame, training: Column | None = None, id_col: str = "doc
         use = [i for i, t in enumerate(texts) if known is not None and has_letter(t)]
         found = dict(zip(use, known.predict([texts[i] for i in use]))) if use else {}
         both = [found.get(i, (UNDETERMINED, 0.0)) for i in range(len(texts))]
-        return {"id": cols["id"], "lang_pred": [x[0] for x in both], "score": [x[1] for x in both]} | {f"c{i}": cols[f"c{i}"] for i in range(len(kept))}
+        return {"id": cols["id"], "lang_pred": [x[0] for x in both], "score": [x[1] for x in both]} | {f"c{i}": cols[c] for i, c in enumerate(held_as)}
 
-    return common.map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(f.name).alias(f"c{i}") for i, f in enumerate(kept)]), run, schema)
+    source, held_as = common.id_and_text(docs, id_col, text_col, keep)
+    return common.map_batches(source, run, schema)
 
 
 def held_out() -> Column:

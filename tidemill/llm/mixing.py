@@ -20,7 +20,10 @@ A document that the mix takes only in part is the last one of its source's final
 from __future__ import annotations
 
 import math
+import re
+from itertools import islice
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,6 +35,7 @@ from . import common
 #: Knots (time, factor on the weight) by place of the source, repeating; each has mean 1: falling, level, rising.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
 WEIGHTS = (5, 2, 1)
+WORD = re.compile("[^\x20\x09-\x0d]+")
 
 
 def integral(schedule: tuple[tuple[float, float], ...]) -> list[tuple[float, float, float, float]]:
@@ -79,10 +83,11 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     ``position`` is the training time of the first copy; null if nothing is taken.
     """
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    sized = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), common.n_words(F.col(text_col)).alias("size"), order.alias("order"), *extra), "mix-sizes")
-    digits = max(0, math.ceil(math.log(max(1, sized.count() / bucket_rows), 16)))
+    digits = max(0, math.ceil(math.log(max(1, docs.count() / bucket_rows), 16)))
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), common.n_words(F.col(text_col)).alias("size"), order.alias("order"), *extra)
     sized = sized.withColumn("bucket", F.substring("order", 1, digits) if digits else F.lit(""))
-    buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    # words are counted twice, here and where rows are placed; that is cheaper than to keep the texts in between
+    buckets = materialize(sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
     running = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     held = targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, most_repeats)
     offsets = buckets.withColumn("before", F.coalesce(F.sum("bucket_size").over(running), F.lit(0)))
@@ -104,33 +109,28 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     return placed.select("id", "source", "size", "source_size", "target", "rounds", "taken", F.when(F.col("taken") > 0, at).alias("position"), *extra)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The rows that the mix takes, as often as it takes them, in ranges of training position."""
-    import pandas as pd
-
-    boxed = docs.select(F.col(id_col), F.col(text_col), F.col(source_col), F.struct(*docs.columns).alias("row_of_doc"))
-    taken = plan(boxed, id_col, text_col, source_col, extra=("row_of_doc",), **how).where("taken > 0")
+@F.pandas_udf(T.StringType())
+def first_words(text: pd.Series, words: pd.Series) -> pd.Series:
+    """Each text up to its n-th word; null stays null."""
 
-    @F.pandas_udf(T.StringType())
-    def cut(text: pd.Series, words: pd.Series) -> pd.Series:
-        import re
+    def head(t: str, n: int) -> str:
+        last = next(islice(WORD.finditer(t), n - 1, None), None) if n > 0 else None
+        return t[: last.end()] if last else t if n > 0 else ""
 
-        word = re.compile("[^\x20\x09-\x0d]+")
+    return pd.Series([None if t is None else head(t, n) for t, n in zip(text, words)], dtype=object)
 
-        def head(t: str, n: int) -> str:
-            for i, m in enumerate(word.finditer(t), 1):
-                if i == n:
-                    return t[: m.end()]
-            return t
 
-        return pd.Series([head(t, n) for t, n in zip(text, words)])
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The rows that the mix takes, as often as it takes them, in ranges of training position."""
+    boxed = docs.select(F.col(id_col), F.col(text_col), F.col(source_col), F.struct(*docs.columns).alias("row_of_doc"))
+    taken = plan(boxed, id_col, text_col, source_col, extra=("row_of_doc",), **how).where("taken > 0")
 
     rest = F.col("taken") - F.col("rounds") * F.col("size")
     copies = F.col("rounds").cast("int") + F.when(rest > 0, 1).otherwise(0)
     each = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     text = F.col(f"row_of_doc.{text_col}")
     part = (F.col("copy") > F.col("rounds")) & (rest < F.col("size"))
-    each = each.withColumn("cut", F.when(part, cut(text, rest)).otherwise(text))
+    each = each.withColumn("cut", F.when(part, first_words(F.when(part, text), rest)).otherwise(text))
     # later copies follow a whole round of the source later
     each = each.withColumn("at", F.col("position") + (F.col("copy") - 1) * F.col("source_size") / F.col("target"))
     return each.repartitionByRange(F.col("at"), F.col("id")).sortWithinPartitions("at", "id").select(*[F.col("cut").alias(c) if c == text_col else F.col(f"row_of_doc.{c}").alias(c) for c in docs.columns])

@@ -49,6 +49,8 @@ TERM = re.compile(r"[^\W\d_]{3,}")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 #: 1 MB.
 BLOOM_BITS = 1 << 23
+#: About 20 MB.
+BROADCAST_PAIRS = 200_000
 
 
 def luhn(digits: str) -> bool:
@@ -112,7 +114,7 @@ HIT = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term
 
 def find_base(docs: DataFrame, id_col: str, text_col: str, window: int, keep_text: bool) -> DataFrame:
     """(uid, id, n_lines, spans, hits[, rest of the row]): base spans, and the terms near them."""
-    kept = [f for f in docs.schema.fields if keep_text and f.name not in ("uid", "n_lines", "spans", "hits")]
+    kept = docs.schema.fields if keep_text else []
     named = {f"c{i}": f for i, f in enumerate(kept)}
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_lines", T.LongType()), T.StructField("spans", common.SPAN), T.StructField("hits", T.ArrayType(HIT))])
@@ -243,10 +245,45 @@ def masked(text: str | None, spans: list[dict], remove_at: float) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove_at: float = 0.95, **how) -> DataFrame:
-    """The rows of ``docs`` with personal data masked in the text; other columns as they were."""
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, min_contexts: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
+    """The rows of ``docs`` with personal data masked in the text; other columns as they were.
+
+    Up to BROADCAST_PAIRS disclosing pairs are sent to the tasks, which mask the texts as they read them; more are joined.
+    """
+    found = materialize(find_base(docs, id_col, text_col, window, False), "pii-base")
+    held = disclosures(docs, found, text_col, generalise_at, min_contexts)
+    n = 0 if held is None else held.count()
+    if n > BROADCAST_PAIRS:
+        return sanitise_joined(docs, id_col, text_col, remove_at, window=window, min_contexts=min_contexts, generalise_at=generalise_at)
+    pairs = docs.sparkSession.sparkContext.broadcast({(r["entity"], r["term"]): r["disclosure"] for r in held.collect()} if n else {})
+    fields = docs.schema.fields
+    names = [f"c{i}" for i in range(len(fields))]
+    text_at = names[docs.columns.index(text_col)]
+
+    def spans_of(text: str) -> list[dict]:
+        base = base_spans(text)
+        out = [{"kind": KINDS[k], "start": s, "end": e, "base": True, "weight": None} for s, k, e, _ in base]
+        if base and pairs.value:
+            terms: dict[tuple[int, int], float] = {}
+            for entity, _, places in near_terms(text, base, window):
+                for s, e in places:
+                    if (d := pairs.value.get((entity, text[s:e].lower()))) is not None:
+                        terms[s, e] = max(d, terms.get((s, e), 0.0))
+            out += [{"kind": "term", "start": s, "end": e, "base": False, "weight": d} for (s, e), d in terms.items()]
+            out.sort(key=lambda x: (x["start"], KINDS.index(x["kind"])))
+        return out
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        return cols | {text_at: [None if t is None else masked(t, spans_of(t), remove_at) for t in cols[text_at]]}
+
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(names, fields)])
+    done = common.map_batches(docs.select(*[F.col(f.name).alias(c) for c, f in zip(names, fields)]), run, schema)
+    return done.select(*[F.col(c).alias(f.name) for c, f in zip(names, fields)])
+
+
+def sanitise_joined(docs: DataFrame, id_col: str, text_col: str, remove_at: float, **how) -> DataFrame:
     found = find(docs, id_col, text_col, keep_text=True, **how)
-    fields = [f for f in docs.schema.fields if f.name not in ("uid", "n_lines", "spans", "hits")]
+    fields = docs.schema.fields
     text_at = f"c{[f.name for f in fields].index(text_col)}"
     mask = F.udf(lambda t, s: masked(t, [x.asDict() for x in s], remove_at), T.StringType())
     text = F.when(F.size("spans") > 0, mask(F.col(text_at), F.col("spans"))).otherwise(F.col(text_at))

@@ -71,11 +71,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            columns = [pa.array(np.arange(uid, uid + batch.num_rows)), batch.column(0), pa.array(fps), *batch.columns[2:]]
+            columns = [pa.array(np.arange(uid, uid + batch.num_rows)), batch.column(0), pa.array(fps), *[batch.column(c) for c in held_as]]
             uid += batch.num_rows
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, target)], schema=target)
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(f.name).alias(f"c{i}") for i, f in enumerate(kept)])
+    source, held_as = common.id_and_text(docs, id_col, text_col, keep)
     return common.small_batches(source).mapInArrow(run, schema)
 
 
