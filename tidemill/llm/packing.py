@@ -40,10 +40,11 @@ CUT_CLASSES = 32
 #: A piece that fills this share of its class's length isn't cut further.
 NEARLY = 0.99
 END = 1
-CACHE_WORDS = 1_500_000
+#: Words that a worker remembers: about 90 MB.
+CACHE_WORDS = 700_000
 #: Letters between ASCII marks, which are pieces of their own; apostrophes are left out, as they bind letters.
-FRAMED = re.compile(r"([!-&(-/:-@\[-`{-~]*)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)\Z")
-SPECIAL = re.compile(r"<\|(?:startoftext|endoftext)\|>")
+ENDS = frozenset(bytes([c]) for c in b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
+FRAMED = re.compile(r"^(?:([!-&(-/:-@\[-`{-~]*)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.MULTILINE)
 
 
 class Words:
@@ -58,69 +59,70 @@ class Words:
         self.plain.normalizer = None
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.marks: dict[bytes, bytes] = {b"": b""}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
-        known, cores, marks = self.known, self.cores, self.marks
-        split, new = [], set()
-        for w in words:
-            s = w.decode("utf-8", "surrogatepass")
-            if (m := FRAMED.match(s)) and not ("<|" in s and SPECIAL.search(s)):
-                before, core, after = m.groups()
-                low = core.lower()
-                # letters only, before and after normalisation: one piece of text to the vocabulary, wherever it stands
-                # (the vocabulary lowers letter by letter; only a capital sigma is lowered by its place)
-                if core.isascii() or ("Σ" not in core and low.isalpha() and unicodedata.is_normalized("NFC", core) and unicodedata.is_normalized("NFC", low)):
-                    if low not in cores:
-                        new.add(low)
-                    split.append((w, before, low, after))
-                    continue
-            known[w] = self.encode(s)
-        fresh = self.in_bulk(list(new))
-        for w, before, low, after in split:
-            ids = fresh.get(low) or cores[low]
+    def learn(self, words: list[bytes]) -> None:
+        """Letters between marks are one piece of text to the vocabulary wherever they stand, and so are the marks.
+
+        That holds for letters before and after normalisation. The vocabulary lowers letter by letter; only a capital
+        sigma is lowered by its place in str.lower, so words with one are encoded by themselves, like all others.
+        """
+        known = self.known
+        if len(self.marks) > 10_000:
+            self.marks = {b"": b""}
+        marks, parts, rest = self.marks, [], []
+        for w in words:  # ASCII letters, and one mark at most after them
+            if w.isalpha():
+                parts.append((w, b"", w.lower(), b""))
+            elif w[:-1].isalpha() and w[-1:] in ENDS:
+                parts.append((w, b"", w[:-1].lower(), w[-1:]))
+            else:
+                rest.append(w)
+        text = b"\n".join(rest).decode("utf-8", "surrogatepass")
+        for w, s, (before, low, after, _) in zip(rest, text.split("\n"), FRAMED.findall(text.lower())):
+            if low and (s.isascii() or (low.isalpha() and "Σ" not in s and unicodedata.is_normalized("NFC", s) and unicodedata.is_normalized("NFC", low))) and "<|" not in before:
+                parts.append((w, before.encode(), low.encode(), after.encode()))
+            else:
+                known[w] = self.encode(s)
+        fresh = self.in_bulk(list({low for _, _, low, _ in parts}.difference(known)))
+        for w, before, low, after in parts:
+            ids = fresh.get(low) or known[low]
             if before or after:
                 for mark in (before, after):
                     if mark not in marks:
-                        if len(marks) > 10_000:
-                            marks.clear()
-                            marks[""] = b""
-                        marks[mark] = self.encode(mark)
-                ids = marks[before] + ids + marks[after] if before in marks else self.encode(before) + ids + marks[after]
+                        marks[mark] = self.encode(mark.decode())
+                ids = marks[before] + ids + marks[after]
             known[w] = ids
-        if len(cores) + len(fresh) <= CACHE_WORDS:
-            cores |= fresh
 
-    def in_bulk(self, words: list[str]) -> dict[str, bytes]:
+    def in_bulk(self, words: list[bytes]) -> dict[bytes, bytes]:
         out = {}
         for a in range(0, len(words), 2000):
             some = words[a : a + 2000]
-            got = self.plain.encode(" ".join(some), add_special_tokens=False)
+            got = self.plain.encode(b" ".join(some).decode(), add_special_tokens=False)
             of = np.array(got.word_ids)
             if of[-1] + 1 == len(some):
                 raw, cuts = np.array(got.ids, "<u4").tobytes(), (4 * np.searchsorted(of, np.arange(len(some) + 1))).tolist()
                 out |= zip(some, [raw[i:j] for i, j in zip(cuts, cuts[1:])])
             else:
-                out |= {w: self.encode(w) for w in some}
+                out |= {w: self.encode(w.decode()) for w in some}
         return out
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text; words are learned for all texts at once."""
         known = self.known
-        for a in range(0, len(texts), 512):
-            split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[a : a + 512]]
-            missing = set(chain.from_iterable(split)).difference(known)
-            full = len(known) + len(missing) > CACHE_WORDS
-            if missing:
-                self.learn(missing)
-            for words in split:
-                yield b"".join(map(known.__getitem__, words))
-            if full:  # words met first stay: frequent ones are among them
-                for w in missing:
-                    del known[w]
+        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        missing = list(set(chain.from_iterable(split)).difference(known))
+        full = len(known) + len(missing) > CACHE_WORDS
+        if missing:
+            self.learn(missing)
+        for words in split:
+            yield b"".join(map(known.__getitem__, words))
+        if full:  # words met first stay: frequent ones are among them
+            for w in missing:
+                del known[w]
 
 
 @functools.cache
