@@ -52,12 +52,6 @@ def n_words(text: pd.Series) -> pd.Series:
     return pd.Series([0 if t is None else len(t.encode("utf-8", "surrogatepass").split()) for t in text], dtype="int64")
 
 
-def id_and_text(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
-    """(id, text, c0, c1, ...) with the columns to keep, and which of these holds each; id and text aren't sent twice."""
-    held_as = ["id" if c == id_col else "text" if c == text_col else f"c{i}" for i, c in enumerate(keep)]
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(h) for c, h in zip(keep, held_as) if h[0] == "c"]), held_as
-
-
 def spans_text(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

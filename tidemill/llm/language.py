@@ -16,9 +16,11 @@ label don't teach; other columns are ignored. Ties go to the label that sorts fi
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -168,22 +170,28 @@ def fit(docs: DataFrame, training: Column, id_col: str, text_col: str, label_col
     return Model([(r["label"], np.frombuffer(r["at"], np.uint32), np.frombuffer(r["n"], np.uint32).astype(float)) for r in rows]) if rows else None
 
 
-def identify(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = 300, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, lang_pred, score, *keep) for every row; learns from rows where ``training`` holds (all, if None)."""
+def labeller(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = 300) -> Callable[[Column], Column]:
+    """Learns from rows where ``training`` holds (all, if None); returns what makes (lang_pred, score) of a text column."""
+    common.small_batches(docs)
     model = fit(docs, F.lit(True) if training is None else F.coalesce(training, F.lit(True)), id_col, text_col, label_col, per_language)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [docs.schema[c] for c in keep]
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *[T.StructField(f"c{i}", f.dataType) for i, f in enumerate(kept)]])
 
-    def run(cols: dict[str, list]) -> dict[str, list]:
-        known, texts = held.value, cols["text"]
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        known = held.value
         use = [i for i, t in enumerate(texts) if known is not None and has_letter(t)]
-        found = dict(zip(use, known.predict([texts[i] for i in use]))) if use else {}
+        found = dict(zip(use, known.predict([texts.iloc[i] for i in use]))) if use else {}
         both = [found.get(i, (UNDETERMINED, 0.0)) for i in range(len(texts))]
-        return {"id": cols["id"], "lang_pred": [x[0] for x in both], "score": [x[1] for x in both]} | {f"c{i}": cols[c] for i, c in enumerate(held_as)}
+        return pd.DataFrame({"lang_pred": [x[0] for x in both], "score": [x[1] for x in both]})
 
-    source, held_as = common.id_and_text(docs, id_col, text_col, keep)
-    return common.map_batches(source, run, schema)
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    # not to be run once more for each condition on its result
+    return F.pandas_udf(predict, kind).asNondeterministic()
+
+
+def identify(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = 300) -> DataFrame:
+    """(id, lang_pred, score) for every row; learns from rows where ``training`` holds (all, if None)."""
+    label = labeller(docs, training, id_col, text_col, label_col, per_language)
+    return docs.select(F.col(id_col).alias("id"), label(F.col(text_col)).alias("found")).select("id", "found.lang_pred", "found.score")
 
 
 def held_out() -> Column:

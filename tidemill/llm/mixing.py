@@ -53,7 +53,8 @@ def position(share: Column, schedule: tuple[tuple[float, float], ...]) -> Column
     out = None
     for t, factor, slope, so_far in integral(schedule):
         left = share - F.lit(so_far)
-        at = F.lit(t) + (left / factor if slope == 0 else 2 * left / (factor + F.sqrt(F.greatest(F.lit(factor * factor) + 2 * slope * left, F.lit(0.0)))))
+        # the root of the quadratic that has no difference of large numbers; at the start of a piece from weight 0 it is 0
+        at = F.lit(t) + (left / factor if slope == 0 else F.coalesce(F.try_divide(2 * left, factor + F.sqrt(F.greatest(F.lit(factor * factor) + 2 * slope * left, F.lit(0.0)))), F.lit(0.0)))
         out = at if out is None else F.when(share >= so_far, at).otherwise(out)
     return F.least(F.greatest(out, F.lit(0.0)), F.lit(1.0))
 
@@ -101,7 +102,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rest = F.round(F.col("target") - F.col("rounds") * F.col("source_size")).cast("long")
     last = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("start")))
     placed = placed.withColumn("taken", F.col("rounds") * F.col("size") + last)
-    share = F.col("start") / F.col("target")
+    share = F.try_divide(F.col("start"), F.col("target"))
     at = None
     for i, schedule in enumerate(SCHEDULES):
         here = position(share, schedule)

@@ -27,6 +27,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -256,10 +257,6 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     if n > BROADCAST_PAIRS:
         return sanitise_joined(docs, id_col, text_col, remove_at, window=window, min_contexts=min_contexts, generalise_at=generalise_at)
     pairs = docs.sparkSession.sparkContext.broadcast({(r["entity"], r["term"]): r["disclosure"] for r in held.collect()} if n else {})
-    fields = docs.schema.fields
-    names = [f"c{i}" for i in range(len(fields))]
-    text_at = names[docs.columns.index(text_col)]
-
     def spans_of(text: str) -> list[dict]:
         base = base_spans(text)
         out = [{"kind": KINDS[k], "start": s, "end": e, "base": True, "weight": None} for s, k, e, _ in base]
@@ -273,12 +270,10 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
             out.sort(key=lambda x: (x["start"], KINDS.index(x["kind"])))
         return out
 
-    def run(cols: dict[str, list]) -> dict[str, list]:
-        return cols | {text_at: [None if t is None else masked(t, spans_of(t), remove_at) for t in cols[text_at]]}
+    def mask(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else masked(t, spans_of(t), remove_at) for t in texts], dtype=object)
 
-    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(names, fields)])
-    done = common.map_batches(docs.select(*[F.col(f.name).alias(c) for c, f in zip(names, fields)]), run, schema)
-    return done.select(*[F.col(c).alias(f.name) for c, f in zip(names, fields)])
+    return common.small_batches(docs).withColumn(text_col, F.pandas_udf(mask, T.StringType())(F.col(text_col)))
 
 
 def sanitise_joined(docs: DataFrame, id_col: str, text_col: str, remove_at: float, **how) -> DataFrame:

@@ -23,13 +23,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import materialize
 from . import common
@@ -61,22 +60,15 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits((2 * counts > n).ravel(), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(uid, id, fp, *c0, c1, ...): the fingerprint of every row as a signed long, with columns to keep."""
-    kept = [docs.schema[c] for c in keep]
-    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType()), *[T.StructField(f"c{i}", f.dataType) for i, f in enumerate(kept)]])
-    target = to_arrow_schema(schema)
+@F.pandas_udf(T.LongType())
+def fingerprint_of(texts: pd.Series) -> pd.Series:
+    """As signed longs."""
+    return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uid = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            columns = [pa.array(np.arange(uid, uid + batch.num_rows)), batch.column(0), pa.array(fps), *[batch.column(c) for c in held_as]]
-            uid += batch.num_rows
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, target)], schema=target)
 
-    source, held_as = common.id_and_text(docs, id_col, text_col, keep)
-    return common.small_batches(source).mapInArrow(run, schema)
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp): the fingerprint of every row."""
+    return common.small_batches(docs).select(F.col(id_col).alias("id"), fingerprint_of(F.col(text_col)).alias("fp"))
 
 
 def references() -> np.ndarray:
@@ -189,11 +181,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4) -> DataFrame:
     """The rows of ``docs`` with one row of each component: that of the smallest id, the first met of several."""
-    held = materialize(fingerprints(docs, id_col, text_col, keep=tuple(docs.columns)), "fingerprints")
+    rows = common.small_batches(docs).select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), fingerprint_of(F.col(text_col)).alias("fp"), F.monotonically_increasing_id().alias("uid"))
+    held = materialize(rows, "fingerprints")  # also pins the uids
     of = groups(held.select("id", "fp"), radius)
-    best = held.select("uid", "id", "fp").join(of, "fp").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("own")).agg(F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("best"))
-    kept = held.join(best.select(F.col("best.uid").alias("uid")), "uid", "left_semi")
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    own = F.when(F.col("component_id").isNull(), F.col("fp"))  # groups without any id
+    best = held.select("uid", "id", "fp").join(of, "fp").groupBy("component_id", own.alias("own")).agg(F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("best"))
+    return held.join(best.select(F.col("best.uid").alias("uid")), "uid", "left_semi").select("row.*")
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
