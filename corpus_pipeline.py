@@ -20,12 +20,12 @@ CONTRADICTED = 0.6
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a language that was learned; label those without a label."""
-    columns = tuple(docs.columns)
-    found = language.identify(docs, keep=columns)
-    of = {c: F.col(f"c{i}") for i, c in enumerate(columns)}
-    wrong = of["lang"].isNotNull() & (of["lang"] != F.col("lang_pred")) & (F.col("score") >= CONTRADICTED)
-    kept = found.where((F.col("lang_pred") != language.UNDETERMINED) & ~wrong)
-    return kept.select(*[F.coalesce(of[c], F.col("lang_pred")).alias(c) if c == "lang" else of[c].alias(c) for c in columns])
+    label = language.labeller(docs)
+    found = docs.select(F.struct(*docs.columns).alias("row"), label(F.col("text")).alias("found"))
+    lang, pred = F.col("row.lang"), F.col("found.lang_pred")
+    wrong = F.coalesce(lang != pred, F.lit(False)) & (F.col("found.score") >= CONTRADICTED)
+    kept = found.where((pred != language.UNDETERMINED) & ~wrong)
+    return kept.select(*[F.coalesce(lang, pred).alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
