@@ -56,7 +56,12 @@ def active(table: str) -> Column:
 
 def window(start: date, end: date | None) -> Column:
     """[start, end); a day if there is no end."""
-    return (F.col("business_date") >= F.lit(start)) & (F.col("business_date") < F.lit(end or start + timedelta(days=1)))
+    return (F.col("business_date") >= day(start)) & (F.col("business_date") < day(end or start + timedelta(days=1)))
+
+
+def day(d: date) -> Column:
+    """A literal of any year."""
+    return F.lit(d.isoformat()).cast("date")
 
 
 def latest(files: DataFrame, feed: str, any_status: bool = False) -> DataFrame:
@@ -83,12 +88,15 @@ def unclassified(files: DataFrame, feed: str, top_level: bool = False) -> DataFr
 
 def add_members(files: DataFrame, members: DataFrame, first_id: int) -> DataFrame:
     """A row for each of ``members`` (parent_id, member, member_size, member_sha256); the archives become expanded."""
-    found = members.join(files.withColumnRenamed("id", "archive_id"), F.col("archive_id") == members["parent_id"]).drop(files["parent_id"], files["member"])
-    numbered = found.withColumn("id", F.row_number().over(W.orderBy("archive_id", "member")) + F.lit(first_id - 1))
+    new = members.select(F.col("parent_id").alias("_parent"), F.col("member").alias("_member"), "member_size", "member_sha256")
+    found = files.drop("parent_id", "member").join(new, F.col("id") == F.col("_parent"))
+    numbered = found.withColumn("id", F.row_number().over(W.orderBy("_parent", "_member")) + F.lit(first_id - 1))
     rows = numbered.withColumns(
         {
-            "remote_path": F.concat_ws("!", "remote_path", "member"),
-            "path": F.concat_ws("!", "path", "member"),
+            "remote_path": F.concat_ws("!", "remote_path", "_member"),
+            "path": F.concat_ws("!", "path", "_member"),
+            "parent_id": F.col("_parent"),
+            "member": F.col("_member"),
             "size": F.col("member_size"),
             "sha256": F.col("member_sha256"),
             "status": F.lit(DOWNLOADED),
@@ -134,7 +142,7 @@ def mark_loaded(files: DataFrame, ids: Iterable[int], load_id: str, at: Column |
 
 def file_counts(files: DataFrame, table: str, since: date) -> DataFrame:
     """(business_date, n_files) of active files from ``since``."""
-    return files.where(active(table) & (F.col("business_date") >= F.lit(since))).groupBy("business_date").agg(F.count("*").alias("n_files"))
+    return files.where(active(table) & (F.col("business_date") >= day(since))).groupBy("business_date").agg(F.count("*").alias("n_files"))
 
 
 # --- operator helpers ---

@@ -719,3 +719,13 @@ def lag_days(spark, sf_dir):
 @query("select '^em\\.csv$' as pattern union all select '^w\\.txt$'")
 def exclude_candidates(spark, sf_dir):
     return discover.exclude_candidates(discover.shaped(listing(spark, sf_dir), "/in"))
+
+
+# --- streams ---
+
+
+@query("select date_trunc('day', ts) as start, event_type, count(*) as n_rows from events group by 1, 2")
+def volume_windows(spark, sf_dir):
+    from ..streaming.arrivals import volume_stream
+
+    return volume_stream(table(spark, sf_dir, "events"), "ts", ("event_type",))

@@ -72,8 +72,16 @@ def in_tasks(files: DataFrame, batches_of: Callable[[BinaryIO], Iterator[pa.Reco
     return files.select("file_id", "path", "member").repartition(n).mapInArrow(run, T.StructType([*schema.fields, SOURCE, POSITION]))
 
 
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """What holds the values of both: whole numbers become doubles, dates timestamps; anything else that differs becomes text."""
+    for narrow, wide in ((T.LongType(), T.DoubleType()), (T.DateType(), T.TimestampNTZType())):
+        if {a, b} == {narrow, wide}:
+            return wide
+    return a if a == b else T.StringType()
+
+
 def schemas(files: DataFrame, schema_of: Callable[[BinaryIO], pa.Schema]) -> T.StructType:
-    """The columns of all files, by name, in the order in which they are met; a type that differs becomes text. One row a different schema reaches the driver."""
+    """The columns of all files, by name, in the order in which they are met; see ``wider``. One row a different schema reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,7 +95,7 @@ def schemas(files: DataFrame, schema_of: Callable[[BinaryIO], pa.Schema]) -> T.S
     kinds: dict[str, T.DataType] = {}
     for r in found.groupBy("schema").agg(F.min("file_id").alias("first")).orderBy("first").collect():
         for f in T.StructType.fromJson(json.loads(r["schema"])):
-            kinds[f.name] = f.dataType if kinds.get(f.name, f.dataType) == f.dataType else T.StringType()
+            kinds[f.name] = wider(kinds.get(f.name, f.dataType), f.dataType)
     return T.StructType([T.StructField(n, t) for n, t in kinds.items()])
 
 
