@@ -729,3 +729,28 @@ def volume_windows(spark, sf_dir):
     from ..streaming.arrivals import volume_stream
 
     return volume_stream(table(spark, sf_dir, "events"), "ts", ("event_type",))
+
+
+# --- a whole profile ---
+
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query(
+    "with v as ("
+    + " union all ".join(f"select '{c}' as \"column\", {'strftime(l_shipdate, ' + chr(39) + '%Y-%m-%d' + chr(39) + ')' if c == 'l_shipdate' else c + '::decimal(18,4)::varchar' if c in ('l_quantity', 'l_extendedprice', 'l_discount', 'l_tax') else c + '::varchar'} as value from lineitem" for c in LINE_COLUMNS)
+    + r""") select "column", count(*) as "rows", count(*) filter (value is null) as nulls, count(distinct value) as n_distinct, min(length(value))::int as min_len, max(length(value))::int as max_len,
+  case when bool_and(regexp_matches(value, '^-?\d+$')) then 'bigint' when bool_and(regexp_matches(value, '^-?\d+(\.\d+)?$')) then 'decimal' when bool_and(regexp_matches(value, '^\d{4}-\d{2}-\d{2}$')) then 'date' else 'text' end as kind from v group by 1"""
+)
+def profile_lineitem(spark, sf_dir):
+    """Types, lengths, nulls and exact distinct counts of all columns of lineitem, as texts, in one pass over the melted rows."""
+    decimal = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    texts_of = [F.date_format(c, "yyyy-MM-dd").alias(c) if c == "l_shipdate" else F.col(c).cast("decimal(18,4)").cast("string").alias(c) if c in decimal else F.col(c).cast("string").alias(c) for c in LINE_COLUMNS]
+    melted = typing.melt(table(spark, sf_dir, "lineitem").select(F.lit("lineitem").alias("_file"), *texts_of), list(LINE_COLUMNS))
+    # values are counted once; all facts come from the counted values
+    counted = melted.groupBy("file", "column", "value").agg(F.count("*").alias("n"))
+    kinds = typing.infer(counted).select("column", "kind")
+    facts = counted.groupBy("column").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"), F.count("value").alias("n_distinct"), F.min(F.char_length("value")).alias("min_len"), F.max(F.char_length("value")).alias("max_len")
+    )
+    return facts.join(F.broadcast(kinds), "column")
