@@ -253,6 +253,18 @@ def test_csv_types(spark, tmp_path):
     assert [r["id"] for r in read(spark, tmp_path, readers.CsvReader(), [("b.csv", "id\n007\n")], "string")] == ["007"]
 
 
+def test_large_files_split(spark, tmp_path, monkeypatch):
+    """Spark's own reader and whole files give the same rows."""
+    files = [("a.csv", 'id,price,d,flag,note,t\n1,1.5,2026-09-08,true,"x ""q"" y",2026-09-08 10:30:00\n2,NA,2026-09-09,false,,\n'), ("b.csv", "price,id,more\n3,007,x\n")]
+    typed = T.StructType([T.StructField("id", T.StringType()), T.StructField("price", T.DecimalType(5, 2)), T.StructField("d", T.DateType())])
+    for types in (None, typed, "string"):
+        whole = read(spark, tmp_path, readers.CsvReader(), files, types)
+        with monkeypatch.context() as m:
+            m.setattr(readers, "SPLIT_FROM", 0)
+            split = read(spark, tmp_path, readers.CsvReader(), files, types)
+        assert [r.asDict() for r in split] == [r.asDict() for r in whole]
+
+
 def test_formats(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
@@ -261,8 +273,9 @@ def test_formats(spark, tmp_path):
     data = (tmp_path / "p.parquet").read_bytes()
     assert [r["a"] for r in read(spark, tmp_path, readers.ParquetReader(), [("p.parquet", data)])] == [1, 2]
     assert [r["a"] for r in read(spark, tmp_path, readers.ParquetReader(), [("p.parquet.v2", data)])] == [1, 2]
-    for text in ('{"a": 1}\n\n{"a": 2}\n', ' [{"a": 1},\n {"a": 2}]'):
-        assert [r["a"] for r in read(spark, tmp_path, readers.JsonReader(), [("j.json", text)])] == [1, 2]
+    for i, text in enumerate(('{"a": 1}\n\n{"a": 2}\n', ' [{"a": 1},\n {"a": 2}]')):
+        for name in (f"j{i}.json", f"j{i}.json.v2"):
+            assert [r["a"] for r in read(spark, tmp_path, readers.JsonReader(), [(name, text)])] == [1, 2]
     assert [r["a"] for r in read(spark, tmp_path, readers.FunctionReader(lambda s: [[{"a": len(s.read())}]]), [("f.txt", "xyz")])] == [3]
     assert sorted(r["a"] for r in read(spark, tmp_path, readers.XmlReader("r"), [("x.xml", "<t><r><a>1</a></r><r><a>2</a></r></t>")])) == [1, 2]
 

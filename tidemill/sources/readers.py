@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
+from ..functions.paths import spark_format
 from . import archives
 
 Types = T.StructType | str | None
 #: Texts that mean null by default (fixed values).
 NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null")
+#: Text files from this size on are read in splits.
+SPLIT_FROM = 256 << 20
 SOURCE, POSITION = T.StructField("_source_file", T.LongType()), T.StructField("_position", T.LongType())
 
 
@@ -88,7 +91,7 @@ def schemas(files: DataFrame, schema_of: Callable[[BinaryIO], pa.Schema]) -> T.S
             out = []
             for file_id, path, member in zip(*[c.to_pylist() for c in batch.columns]):
                 for stream in streams(file_id, path, member):
-                    out.append((file_id, from_arrow_schema(schema_of(stream)).json()))
+                    out.append((file_id, from_arrow_schema(schema_of(stream), prefer_timestamp_ntz=True).json()))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.string())], names=["file_id", "schema"])
 
     found = files.select("file_id", "path", "member").mapInArrow(run, "file_id long, schema string")
@@ -147,6 +150,58 @@ class CsvReader:
         return next(csv.reader([text.readline()], delimiter=self.delimiter), [])
 
     def read(self, files: DataFrame, types: Types = None) -> DataFrame:
+        large, rest = large_files(files) if self.splits() else ([], files)
+        out = [self.read_split(files, large, types)] if large else []
+        if not large or not rest.isEmpty():
+            out.append(self.read_whole(rest, types))
+        return union(out)
+
+    def splits(self) -> bool:
+        """Whether Spark's own reader, which splits files, reads the dialect alike."""
+        return self.encoding.lower().replace("-", "") == "utf8" and not self.skip_rows and not self.newlines_in_values and self.double_quote and not self.escape_char
+
+    def read_split(self, files: DataFrame, large: list, types: Types) -> DataFrame:
+        """Large plain files, by as many tasks as they have splits: all text first, then types by name."""
+        spark = files.sparkSession
+        groups: dict[tuple[str, ...], list] = {}
+        for r in large:
+            groups.setdefault(tuple(self.column_names or csv_header(spark, r["path"], self.delimiter)), []).append(r)
+        frames = []
+        for names, held in groups.items():
+            # no text equals this null value: what means null is decided below, by a list
+            reader = spark.read.options(sep=self.delimiter, quote=self.quote_char or "", escape=self.quote_char or "\\", header=self.column_names is None, mode="FAILFAST", nullValue="\u0001", emptyValue="")
+            frames.append(by_spark(files, held, reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv([r["path"] for r in held])))
+        text = union(frames)
+        names = [c for c in text.columns if c not in ("_source_file", "_position")]
+        tokens = list(NULLS if self.null_values is None else self.null_values)
+        value = {n: F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")) if tokens else F.col(f"`{n}`") for n in names}
+        known = {f.name: f.dataType for f in types} if isinstance(types, T.StructType) else {}
+        if types is None or (known and set(names) - set(known)):
+            known = self.kinds_of(text.select(F.lit("all").alias("_file"), *[value[n].alias(n) for n in names]), names) | known
+        out = []
+        for n in names:
+            kind = known.get(n, T.StringType())
+            if isinstance(kind, T.StringType):
+                out.append((value[n] if self.strings_can_be_null else F.col(f"`{n}`")).alias(n))
+            elif self.date_formats and isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+                parsed = F.coalesce(*[F.try_to_timestamp(value[n], F.lit(spark_format(f))) for f in self.date_formats], value[n].cast("timestamp"))
+                out.append(parsed.cast(kind).alias(n))
+            else:
+                out.append(value[n].cast(kind).alias(n))
+        return text.select(*out, "_source_file", "_position")
+
+    def kinds_of(self, text: DataFrame, names: list[str]) -> dict[str, T.DataType]:
+        """As whole files infer them: numbers keep no leading zeros, fractions are doubles."""
+        from ..operators.profile import typing
+
+        kinds = {"bigint": T.LongType(), "decimal": T.DoubleType(), "double": T.DoubleType(), "bool": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampNTZType()}
+        found = {}
+        for r in typing.infer(typing.melt(text, names), self.date_formats).collect():
+            zoned = r["kind"] == "timestamp" and r["zoned"]
+            found[r["column"]] = T.LongType() if r["reason"] == "leading zeros" else T.TimestampType() if zoned else kinds.get(r["kind"], T.StringType())
+        return found
+
+    def read_whole(self, files: DataFrame, types: Types) -> DataFrame:
         if types is None:
             # types are inferred from whole files, as a column may change late
             schema = schemas(files, self.inferred)
@@ -179,6 +234,24 @@ def split_plain(files: DataFrame, endings: tuple[str, ...]) -> tuple[list, DataF
     return files.where(plain & ends).select("file_id", "path").collect(), files.where(~(plain & ends))
 
 
+def large_files(files: DataFrame) -> tuple[list, DataFrame]:
+    """(plain text files from SPLIT_FROM bytes on, the rest)."""
+    plain, _ = split_plain(files, (".csv", ".txt", ".tsv", ".psv", ".dat"))
+    jvm, conf = files.sparkSession._jvm, files.sparkSession._jsc.hadoopConfiguration()
+
+    def size(path: str) -> int:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf).getFileStatus(p).getLen()
+
+    large = [r for r in plain if size(r["path"]) >= SPLIT_FROM]
+    return large, files.where(~F.col("file_id").isin([r["file_id"] for r in large])) if large else files
+
+
+def csv_header(spark, path: str, delimiter: str) -> list[str]:
+    line = spark.read.text(path).limit(1).first()
+    return next(csv.reader([line[0] if line else ""], delimiter=delimiter), [])
+
+
 def by_spark(files: DataFrame, held: list, frame: DataFrame) -> DataFrame:
     """Rows of Spark's reader with the manifest id of their file; places are those in the file's blocks."""
     spark = files.sparkSession
@@ -224,6 +297,19 @@ class JsonReader:
     """JSON lines, or one array; types are inferred over all files."""
 
     def read(self, files: DataFrame, types: Types = None) -> DataFrame:
+        spark = files.sparkSession
+        plain, rest = split_plain(files, (".json", ".jsonl", ".ndjson"))
+        starts = {r["path"]: r["value"].lstrip()[:1] for r in (spark.read.text([x["path"]]).where(F.trim("value") != "").limit(1).select("value", F.lit(x["path"]).alias("path")).first() for x in plain) if r} if plain else {}
+        lines = [r for r in plain if starts.get(r["path"]) == "{"]
+        whole = files.where(~F.col("file_id").isin([r["file_id"] for r in lines])) if lines else files
+        out = []
+        if lines:  # these split
+            out.append(by_spark(files, lines, spark.read.option("mode", "FAILFAST").json([r["path"] for r in lines])))
+        if not lines or not whole.isEmpty():
+            out.append(self.read_whole(whole))
+        return union(out)
+
+    def read_whole(self, files: DataFrame) -> DataFrame:
         # a line, or an array's element, becomes a row of text: what a file has and how long it is may vary
         def lines(stream: BinaryIO) -> Iterator[pa.RecordBatch]:
             data = stream.read()
@@ -231,9 +317,11 @@ class JsonReader:
             for a in range(0, len(rows), 1 << 14):
                 yield pa.RecordBatch.from_pydict({"json": rows[a : a + (1 << 14)]})
 
-        text = in_tasks(files, lines, T.StructType([T.StructField("json", T.StringType())])).persist()
+        text = in_tasks(files, lines, T.StructType([T.StructField("json", T.StringType())]))
         spark = files.sparkSession
-        schema = spark.read.json(text.select("json").rdd.map(lambda r: r[0])).schema
+        # the schema of all rows, found in the JVM; files are read a second time for it
+        strings = getattr(text.select("json")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+        schema = T.StructType.fromJson(json.loads(spark._jsparkSession.read().json(strings).schema().json()))
         return text.select(F.from_json("json", schema, {"mode": "FAILFAST"}).alias("r"), "_source_file", "_position").select("r.*", "_source_file", "_position")
 
 
