@@ -40,8 +40,8 @@ CUT_CLASSES = 32
 #: A piece that fills this share of its class's length isn't cut further.
 NEARLY = 0.99
 END = 1
-#: Words that a worker remembers: about 90 MB.
-CACHE_WORDS = 700_000
+#: Words that a worker remembers: about 65 MB.
+CACHE_WORDS = 500_000
 #: Letters between ASCII marks, which are pieces of their own; apostrophes are left out, as they bind letters.
 ENDS = frozenset(bytes([c]) for c in b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
 FRAMED = re.compile(r"^(?:([!-&(-/:-@\[-`{-~]*)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.MULTILINE)
