@@ -1,13 +1,13 @@
 """Language identification in two levels: families first, then close languages within the family.
 
-Features are hashed byte bigrams and trigrams of the whole text (lower case; anything ASCII but letters counts as
+Features are hashed byte n-grams (two to four bytes, so short words with their spaces) of the whole text (lower case; anything ASCII but letters counts as
 one kind of space), as shares of their number. Linear support vector machines (hinge loss, dual coordinate descent)
 decide one against one: first between language families, then between the languages of the family that won.
 All weights of a pair are one column, so a text costs one table lookup per n-gram and pair.
 
 Learning uses a bounded sample of the labelled rows (``per_language`` documents of each label, those with the
 smallest hash) as feature counts, never the texts; prediction covers all rows and whole texts. The weights
-(2^17 rows, one column a pair) are broadcast: their size depends on the number of languages only.
+(3 * 2^16 rows, one column a pair) are broadcast: their size depends on the number of languages only.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, and so is every text if no labelled row
 is there to learn from; an empty table gives an empty result; repeated rows give repeated results; rows with a null
@@ -59,7 +59,8 @@ def grams(text: str) -> np.ndarray:
     b = np.frombuffer(b" " + text.lower().encode("utf-8", "surrogatepass").translate(SPACED) + b" ", np.uint8).astype(np.uint32)
     two = b[:-1] << 8 | b[1:]
     three = (two[:-1] * np.uint32(2654435761) + b[2:] * np.uint32(40503)) >> np.uint32(16)
-    return np.concatenate([two, three + np.uint32(BUCKETS)])
+    four = (two[:-2] * np.uint32(2654435761) + two[2:] * np.uint32(2246822519)) >> np.uint32(16)
+    return np.concatenate([two, three + np.uint32(BUCKETS), four + np.uint32(2 * BUCKETS)])
 
 
 def has_letter(text: str | None) -> bool:
@@ -68,7 +69,7 @@ def has_letter(text: str | None) -> bool:
 
 def train_pair(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, cost: float = 10.0, rounds: int = 30) -> np.ndarray:
     """Weights of a linear support vector machine; the last is the bias."""
-    w = np.zeros(2 * BUCKETS + 1)
+    w = np.zeros(3 * BUCKETS + 1)
     alpha = np.zeros(len(rows))
     norms = [float(v @ v) + 1.0 for _, v in rows]
     shuffled = np.random.default_rng(5)
@@ -111,7 +112,7 @@ class Model:
         in_family = {f: [i for i, x in enumerate(family) if x == f] for f in range(len(self.families))}
         self.family_pairs = [(a, b, pair(in_family[a], in_family[b])) for a, b in combinations(range(len(self.families)), 2)]
         self.pairs = [[(a, b, pair(place[own[a]], place[own[b]])) for a, b in combinations(range(len(own)), 2)] for own in self.members]
-        w = np.stack(columns, axis=1) if columns else np.zeros((2 * BUCKETS + 1, 1))
+        w = np.stack(columns, axis=1) if columns else np.zeros((3 * BUCKETS + 1, 1))
         self.weights, self.bias = (w[:-1] * SCALE).astype(np.float32), w[-1]
 
     def margins(self, texts: list[str]) -> np.ndarray:
