@@ -228,6 +228,31 @@ def test_contract(spark, tmp_path):
         merge.check_contract(T.StructType([T.StructField("a", T.LongType())]), T.StructType([T.StructField("a", T.StringType())]))
 
 
+@pytest.mark.parametrize("upsert", [False, True])
+def test_jdbc(spark, tmp_path, upsert):
+    from tidemill.operators.jdbc import JdbcWriter
+
+    url = f"jdbc:derby:memory:{tmp_path.name};create=true"
+    writer = JdbcWriter(url, merge.Upsert(("isin",)) if upsert else merge.ReplaceDay(), properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    s = Space(spark, tmp_path, reader=readers.JsonReader(), writer=writer)
+    s.put("em-2026-09-08.csv", '{"isin": "XS1", "price": 1.5, "c": [{"x": 1}, {"x": 2}]}\n{"isin": "XS2", "price": 2.5, "c": [{"x": 3}]}')
+    s.engine.sync()
+    for _ in range(2):
+        assert s.engine.load(s.table, date(2026, 9, 8)).rows == 5
+    s.put("em-2026-09-09.csv", '{"isin": "XS1", "price": 9.5, "more": "m", "c": [{"x": 7}]}')
+    s.engine.sync()
+    s.engine.load(s.table, date(2026, 9, 9))
+    rows = {(r["isin"], r["price"], r["more"]) for r in s.engine.target("em").collect()}
+    xs = sorted(r["x"] for r in s.engine.target("em__c").collect())
+    assert rows == {("XS1", 9.5, "m"), ("XS2", 2.5, None)} | (set() if upsert else {("XS1", 1.5, None)})
+    assert xs == ([3, 7] if upsert else [1, 2, 3, 7])
+    s.put("em-2026-09-10.csv", '{"isin": 5, "price": 1.5, "c": []}')
+    s.engine.sync()
+    with pytest.raises(merge.ContractError):
+        s.engine.load(s.table, date(2026, 9, 10))
+    assert s.engine.target("em").count() == len(rows)
+
+
 # --- readers ---
 
 

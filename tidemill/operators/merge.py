@@ -114,6 +114,10 @@ class Writer:
             details["new_columns"] = new
         return WriteResult(n, details)
 
+    @staticmethod
+    def current(spark, root: str, name: str) -> DataFrame | None:
+        return current(spark, root, name)
+
     def write_one(self, df: DataFrame, held: DataFrame | None, root: str, name: str, parent: DataFrame | None) -> int:
         spark = df.sparkSession
         path = f"{root}/{name}"

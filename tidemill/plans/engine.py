@@ -51,7 +51,10 @@ class Engine:
         return next(t for t in self.dataset.tables if name in (t.name, t.key))
 
     def target(self, name: str) -> DataFrame | None:
-        return merge.current(self.spark, self.target_root, name)
+        """The present rows of a table, or of a child table."""
+        own = next((t for t in self.dataset.tables if name == t.name or name.startswith(f"{t.name}__")), None)
+        writer = own.writer if own else merge.Writer()
+        return writer.current(self.spark, self.target_root, name)
 
     # --- mirror ---
 
