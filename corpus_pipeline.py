@@ -15,7 +15,7 @@ from tidemill.llm import language, mixing, packing, pii, simhash
 from tidemill.session import materialize
 
 #: A document is rejected if no language is found in it, or if the one found contradicts its label this clearly.
-CONTRADICTED = 0.6
+CONTRADICTED = 0.8
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
