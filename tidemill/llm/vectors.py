@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Rows of a cell; with 64 doubles each, 1 MB and 24 MB.
-QUERY_ROWS, PART_ROWS = 2048, 50_000
+#: Rows of a cell; with 64 doubles each, 8 MB and 24 MB. Larger blocks of queries copy candidates less often.
+QUERY_ROWS, PART_ROWS = 16_384, 50_000
 
 
 def finite(vector: Column) -> Column:
