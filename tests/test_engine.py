@@ -75,6 +75,22 @@ def test_sync(space):
     assert (again.downloaded, again.revisions, again.unchanged) == (0, 0, 3)
 
 
+def test_listing_by_fsspec(spark, tmp_path, monkeypatch):
+    """With a stand-in for the package, as it may not be installed."""
+    import sys
+    import types
+
+    class Store:
+        def find(self, root, maxdepth=None, detail=True):
+            return {"/out/a.csv": {"type": "file", "name": "/out/a.csv", "size": 3, "mtime": 60.7}, "/out/d": {"type": "directory", "name": "/out/d"}}
+
+    module = types.ModuleType("fsspec")
+    module.filesystem = lambda protocol, **options: Store()
+    monkeypatch.setitem(sys.modules, "fsspec", module)
+    got = mirror.listing_by_fsspec(spark, "sftp", {"host": "h"}, {"EM": "/out/"}, 1).collect()
+    assert [tuple(r) for r in got] == [("EM", "sftp:///out/a.csv", "EM/a.csv", "1970-01-01T00:01:00+00:00", 3)]
+
+
 def test_revision_and_late_file(space):
     space.engine.sync()
     space.put("em-2026-09-08.csv", "isin,price\nXS1,1.5\nXS9,9.0\n")

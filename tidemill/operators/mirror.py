@@ -66,13 +66,27 @@ def listing(spark: SparkSession, subsets: dict[str, str], maxdepth: int | None)
     return out
 
 
+def listing_by_fsspec(spark: SparkSession, protocol: str, options: dict, subsets: dict[str, str], maxdepth: int | None) -> DataFrame:
+    """The same as ``listing`` for stores that only fsspec reaches; the driver lists them. Remote paths are URLs."""
+    import fsspec
+
+    store, rows = fsspec.filesystem(protocol, **options), []
+    for subset, root in subsets.items():
+        base = root.rstrip("/")
+        for info in store.find(base, maxdepth=maxdepth, detail=True).values():
+            if info.get("type") == "file":
+                name = info["name"]
+                rows.append((subset, f"{protocol}://{name}", f"{subset}/{posixpath.relpath(name, base)}", modification_time(info), info.get("size")))
+    return spark.createDataFrame(rows, "subset string, remote_path string, path string, remote_mtime string, size long")
+
+
 def landing_path(root: str, feed: str, path, version):
     """<root>/<feed>/<subset>/<path>[.vN]."""
     suffix = F.when(version > 1, F.concat(F.lit(".v"), version.cast("string"))).otherwise(F.lit(""))
     return F.concat(F.lit(f"{root.rstrip('/')}/{feed}/"), path, suffix)
 
 
-def copy(pairs: DataFrame) -> DataFrame:
+def copy(pairs: DataFrame, protocol: str | None = None, options: dict | None = None) -> DataFrame:
     """``pairs`` (remote_path, local_path, ...) copied byte by byte, in the tasks: (remote_path, sha256, copied_size). An action's lazy plan.
 
     A file gets its name once it is whole, so a task that runs again does no harm.
@@ -82,12 +96,10 @@ def copy(pairs: DataFrame) -> DataFrame:
         import hashlib
         import uuid
 
-        from pyarrow import fs
-
         for rows in batches:
             out = []
             for source, target in zip(rows["remote_path"], rows["local_path"]):
-                a, from_path = open_path(source)
+                a, from_path = open_by_fsspec(source, protocol, options or {}) if protocol else open_path(source)
                 b, to_path = open_path(target)
                 b.create_dir(posixpath.dirname(to_path))
                 part, digest, size = f"{to_path}.{uuid.uuid4().hex}.part", hashlib.sha256(), 0
@@ -98,7 +110,6 @@ def copy(pairs: DataFrame) -> DataFrame:
                         o.write(block)
                 b.move(part, to_path)
                 out.append((source, digest.hexdigest(), size))
-            del fs
             yield pd.DataFrame(out, columns=["remote_path", "sha256", "copied_size"])
 
     return pairs.select("remote_path", "local_path").mapInPandas(run, "remote_path string, sha256 string, copied_size long")
@@ -113,6 +124,13 @@ def open_path(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+def open_by_fsspec(url: str, protocol: str, options: dict):
+    import fsspec
+    from pyarrow import fs
+
+    return fs.PyFileSystem(fs.FSSpecHandler(fsspec.filesystem(protocol, **options))), url.removeprefix(f"{protocol}://")
+
+
 def number(rows: DataFrame, first_id: int) -> DataFrame:
     """Ids for new rows, in the order of their paths. Only the rows that a run finds new are ordered."""
     return rows.withColumn("id", (F.row_number().over(W.orderBy("path")) + F.lit(first_id - 1)).cast("long"))

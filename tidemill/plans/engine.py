@@ -44,7 +44,8 @@ class Engine:
         self.store = ManifestStore(self.spark, f"{self.manifest_root}/{self.dataset.name}")
         self.landing_root = self.dataset.landing_root or self.landing_root
         self.target_root = f"{self.dataset.target_root or self.target_root}/{self.dataset.schema_name}"
-        for k, v in self.dataset.feed.remote.options.items():
+        remote = self.dataset.feed.remote
+        for k, v in ({} if remote.protocol else remote.options).items():
             self.spark._jsc.hadoopConfiguration().set(k, str(v))
 
     def table(self, name: str) -> Table:
@@ -61,7 +62,11 @@ class Engine:
     def sync(self) -> SyncResult:
         """Copy what is new or changed and record it; then expand archives and classify."""
         feed = self.dataset.feed
-        listing = mirror.listing(self.spark, feed.subsets, feed.maxdepth)
+        remote = feed.remote
+        if remote.protocol:
+            listing = mirror.listing_by_fsspec(self.spark, remote.protocol, remote.options, feed.subsets, feed.maxdepth)
+        else:
+            listing = mirror.listing(self.spark, feed.subsets, feed.maxdepth)
         actions = mirror.diff(listing, m.latest(self.store.read(), feed.name, any_status=True), feed.exclude)
         local = mirror.landing_path(self.landing_root, feed.name, F.col("path"), F.col("version"))
         actions = actions.withColumn("local_path", local).cache()
@@ -69,7 +74,7 @@ class Engine:
         copied = actions.where(F.col("action").isin(mirror.NEW, mirror.REVISION))
         if n.get(mirror.NEW, 0) + n.get(mirror.REVISION, 0) + n.get(mirror.IGNORED, 0):
             # hashes come from the bytes that were copied; kept, so that nothing is copied twice
-            hashes = mirror.copy(copied.repartition(max(1, min(1000, n.get(mirror.NEW, 0) + n.get(mirror.REVISION, 0))))).persist()
+            hashes = mirror.copy(copied.repartition(max(1, min(1000, n.get(mirror.NEW, 0) + n.get(mirror.REVISION, 0)))), remote.protocol, remote.options).persist()
             ignored = actions.where(F.col("action") == mirror.IGNORED).withColumn("sha256", F.lit(None).cast("string")).withColumn("local_path", F.lit(None).cast("string"))
             rows = copied.join(hashes.select("remote_path", "sha256"), "remote_path").unionByName(ignored)
             rows = mirror.number(rows, self.store.next_id()).withColumns({"feed": F.lit(feed.name), "status": F.when(F.col("action") == mirror.IGNORED, m.IGNORED).otherwise(m.DOWNLOADED), "downloaded_at": F.lit(datetime.now(UTC).replace(tzinfo=None))})
