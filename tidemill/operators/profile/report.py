@@ -54,7 +54,7 @@ def profile_table(df: DataFrame, files: list, options: typing.Options, json_colu
     numbered = df.join(F.broadcast(spark.createDataFrame(list(order.items()), "_source_file long, _file long")), "_source_file")
     text = numbered.select("_file", *[as_text(f).alias(f.name) for f in fields]).cache()
     melted = typing.melt(text, names)
-    kinds = {(r["file"], r["column"]): r for r in typing.infer(melted, options.date_formats).collect()}
+    kinds = {(r["file"], r["column"]): r for r in typing.infer(melted, options.date_formats).where(F.col("kind").isNotNull()).collect()}
     of: dict[str, set[str]] = defaultdict(set)
     for (_, c), r in kinds.items():
         of[c].add(declared[c].data_type if c in declared and not (options.decimals and declared[c].data_type == "double" and r["kind"] == "decimal") else "json" if c in json_columns else r["kind"])

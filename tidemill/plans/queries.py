@@ -747,10 +747,13 @@ def profile_lineitem(spark, sf_dir):
     decimal = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     texts_of = [F.date_format(c, "yyyy-MM-dd").alias(c) if c == "l_shipdate" else F.col(c).cast("decimal(18,4)").cast("string").alias(c) if c in decimal else F.col(c).cast("string").alias(c) for c in LINE_COLUMNS]
     melted = typing.melt(table(spark, sf_dir, "lineitem").select(F.lit("lineitem").alias("_file"), *texts_of), list(LINE_COLUMNS))
-    # values are counted once; all facts come from the counted values
+    # values are counted once; all facts come from the counted values, on their way to shapes and columns
     counted = melted.groupBy("file", "column", "value").agg(F.count("*").alias("n"))
-    kinds = typing.infer(counted).select("column", "kind")
-    facts = counted.groupBy("column").agg(
-        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"), F.count("value").alias("n_distinct"), F.min(F.char_length("value")).alias("min_len"), F.max(F.char_length("value")).alias("max_len")
-    )
-    return facts.join(F.broadcast(kinds), "column")
+    facts = {
+        "rows": (F.sum("n"), F.sum),
+        "nulls": (F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)), F.sum),
+        "n_distinct": (F.count("value"), F.sum),
+        "min_len": (F.min(F.char_length("value")), F.min),
+        "max_len": (F.max(F.char_length("value")), F.max),
+    }
+    return typing.infer(counted, sums=facts).select("column", "rows", "nulls", "n_distinct", "min_len", "max_len", "kind")
