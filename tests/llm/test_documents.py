@@ -89,6 +89,23 @@ def test_pii_base(text):
     assert [(s, k, e) for s, k, e, _ in pii.base_spans(text)] == slow_pii(text)
 
 
+def test_covered():
+    from tidemill.llm.common import Covered
+
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        spans = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 50, 6), rng.integers(1, 20, 6))]
+        covered = Covered(spans)
+        assert all(covered(a, b) == any(s < b and a < e for s, e in spans) for a in range(60) for b in range(a + 1, 62))
+    assert not Covered([])(0, 5)
+
+
+def test_many_entities_take_linear_time():
+    text = " ".join(f"word{i} a{i}@b.example +1 (555) 010-{i:04}" for i in range(3000))
+    spans = pii.base_spans(text)
+    assert len(spans) >= 6000 and sum(len(p) for _, _, p in pii.near_terms(text, spans, 8)) > 0
+
+
 def test_pii_documents(docs):
     found = {r["id"]: [(s["start"], pii.KINDS.index(s["kind"]), s["end"]) for s in r["spans"] if s["base"]] for r in pii.find(docs).collect()}
     assert found == {r["doc_id"]: slow_pii(r["text"]) for r in docs.collect()}
@@ -356,6 +373,15 @@ def test_language(spark, sf, docs):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_grams_in_pieces(monkeypatch):
+    text = "Ein kurzer Text, and some more of it: ñandú! " * 40
+    whole = language.counted(text)
+    monkeypatch.setattr(language, "PIECE", 7)
+    assert all(np.array_equal(a, b) for a, b in zip(language.counted(text), whole))
+    n = len(text.lower().encode()) + 2
+    assert whole[1].sum() == (n - 1) + (n - 2) + (n - 3)
+
+
 def test_language_learns_from_labels_only(spark):
     rows = [(i, " ".join([w] * 9), lang, None, None) for i, (w, lang) in enumerate([("aaaa", "xx"), ("bbbb", "yy"), ("cccc", None), ("dddd", "zz")] * 5)]
     docs = spark.createDataFrame(rows, DOCS)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -57,6 +59,19 @@ def n_words(text: pd.Series) -> pd.Series:
     return pd.Series([0 if t is None else len(t.encode("utf-8", "surrogatepass").split()) for t in text], dtype="int64")
 
 
+class Covered:
+    """Whether a stretch of text overlaps any of some spans (start, end); logarithmic in their number."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts = [s for s, _ in spans]
+        self.ends = list(accumulate((e for _, e in spans), max))
+
+    def __call__(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end)
+        return i > 0 and self.ends[i - 1] > start
+
+
 def spans_text(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

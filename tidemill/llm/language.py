@@ -16,7 +16,7 @@ label don't teach; other columns are ignored. Ties go to the label that sorts fi
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -47,6 +47,8 @@ FAMILIES = {
 }
 FAMILY_OF = {code: name for name, codes in FAMILIES.items() for code in codes}
 BUCKETS = 1 << 16
+#: Bytes of a text that are looked at together.
+PIECE = 1 << 15
 #: Bytes that aren't part of a word become a space.
 SPACED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 #: Shares are small; this brings vectors to a length near 1.
@@ -54,13 +56,24 @@ SCALE = 20.0
 MAX_LANGUAGES = 1000
 
 
-def grams(text: str) -> np.ndarray:
-    """Feature numbers of all n-grams of a text."""
-    b = np.frombuffer(b" " + text.lower().encode("utf-8", "surrogatepass").translate(SPACED) + b" ", np.uint8).astype(np.uint32)
-    two = b[:-1] << 8 | b[1:]
-    three = (two[:-1] * np.uint32(2654435761) + b[2:] * np.uint32(40503)) >> np.uint32(16)
-    four = (two[:-2] * np.uint32(2654435761) + two[2:] * np.uint32(2246822519)) >> np.uint32(16)
-    return np.concatenate([two, three + np.uint32(BUCKETS), four + np.uint32(2 * BUCKETS)])
+def grams(text: str) -> Iterator[np.ndarray]:
+    """Feature numbers of all n-grams of a text, in pieces of bounded size."""
+    whole = np.frombuffer(b" " + text.lower().encode("utf-8", "surrogatepass").translate(SPACED) + b" ", np.uint8)
+    for a in range(0, len(whole) - 1, PIECE):
+        b = whole[a : a + PIECE + 3].astype(np.uint32)
+        two = b[:-1] << 8 | b[1:]
+        three = (two[:-1] * np.uint32(2654435761) + b[2:] * np.uint32(40503)) >> np.uint32(16)
+        four = (two[:-2] * np.uint32(2654435761) + two[2:] * np.uint32(2246822519)) >> np.uint32(16)
+        yield np.concatenate([two[:PIECE], three[:PIECE] + np.uint32(BUCKETS), four[:PIECE] + np.uint32(2 * BUCKETS)])
+
+
+def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(features, counts) of a text."""
+    n = np.zeros(3 * BUCKETS, np.int64)
+    for at in grams(text):
+        n += np.bincount(at, minlength=3 * BUCKETS)
+    found = np.flatnonzero(n)
+    return found.astype(np.uint32), n[found].astype(np.uint32)
 
 
 def has_letter(text: str | None) -> bool:
@@ -118,11 +131,11 @@ class Model:
     def margins(self, texts: list[str]) -> np.ndarray:
         out = np.empty((len(texts), self.weights.shape[1]))
         for i, text in enumerate(texts):
-            at = grams(text)
-            total = np.zeros(self.weights.shape[1])
-            for a in range(0, len(at), 1 << 16):  # long texts in pieces, for memory
-                total += self.weights[at[a : a + (1 << 16)]].sum(axis=0, dtype=np.float64)
-            out[i] = total / len(at) + self.bias
+            total, n = np.zeros(self.weights.shape[1]), 0
+            for at in grams(text):
+                total += self.weights[at].sum(axis=0, dtype=np.float64)
+                n += len(at)
+            out[i] = total / n + self.bias
         return out
 
     @staticmethod
@@ -162,8 +175,8 @@ def fit(docs: DataFrame, training: Column, id_col: str, text_col: str, label_col
     schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("h", T.LongType()), T.StructField("at", T.BinaryType()), T.StructField("n", T.BinaryType())])
 
     def count(cols: dict[str, list]) -> dict[str, list]:
-        kept = [(label, h, *np.unique(grams(t), return_counts=True)) for label, h, t in zip(cols["label"], cols["h"], cols["text"]) if has_letter(t)]
-        return {"label": [k[0] for k in kept], "h": [k[1] for k in kept], "at": [k[2].astype(np.uint32).tobytes() for k in kept], "n": [k[3].astype(np.uint32).tobytes() for k in kept]}
+        kept = [(label, h, *counted(t)) for label, h, t in zip(cols["label"], cols["h"], cols["text"]) if has_letter(t)]
+        return {"label": [k[0] for k in kept], "h": [k[1] for k in kept], "at": [k[2].tobytes() for k in kept], "n": [k[3].tobytes() for k in kept]}
 
     features = common.map_batches(drawn, count, schema)
     best = features.withColumn("r", F.row_number().over(W.partitionBy("label").orderBy("h", "at"))).where(F.col("r") <= per_language)

@@ -130,12 +130,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rest = F.col("taken") - F.col("rounds") * F.col("size")
     copies = F.col("rounds").cast("int") + F.when(rest > 0, 1).otherwise(0)
     each = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-    text = F.col(f"row_of_doc.{text_col}")
+    text = F.col("row_of_doc")[text_col]
     part = (F.col("copy") > F.col("rounds")) & (rest < F.col("size"))
     each = each.withColumn("cut", F.when(part, first_words(F.when(part, text), rest)).otherwise(text))
     # later copies follow a whole round of the source later
     each = each.withColumn("at", F.col("position") + (F.col("copy") - 1) * F.col("source_size") / F.col("target"))
-    return each.repartitionByRange(F.col("at"), F.col("id")).sortWithinPartitions("at", "id").select(*[F.col("cut").alias(c) if c == text_col else F.col(f"row_of_doc.{c}").alias(c) for c in docs.columns])
+    return each.repartitionByRange(F.col("at"), F.col("id")).sortWithinPartitions("at", "id").select(*[F.col("cut").alias(c) if c == text_col else F.col("row_of_doc")[c].alias(c) for c in docs.columns])
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

@@ -98,6 +98,7 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 def near_terms(text: str, spans: list[tuple[int, int, int, str]], window: int) -> Iterator[tuple[str, int, list[tuple[int, int]]]]:
     """For each base span: its entity, a hash of the words around it, and the places of terms within ``window`` words, in its line."""
+    covered = common.Covered([(s, e) for s, _, e, _ in spans])
     for start, kind, end, value in spans:
         a, b = text.rfind("\n", 0, start) + 1, text.find("\n", end)
         b = len(text) if b < 0 else b
@@ -105,7 +106,7 @@ def near_terms(text: str, spans: list[tuple[int, int, int, str]], window: int) -
         low, high = max(a, start - 64 * window), min(b, end + 64 * window)
         before = [m.span() for m in TERM.finditer(text, low, start) if m.start() > low or low == a][-window:]
         after = [m.span() for m in TERM.finditer(text, end, high) if m.end() < high or high == b][:window]
-        places = [(s, e) for s, e in before + after if not any(s < y and x < e for x, _, y, _ in spans)]
+        places = [(s, e) for s, e in before + after if not covered(s, e)]
         words = " ".join(text[s:e].lower() for s, e in places)
         yield f"{KINDS[kind]}:{value}", xxhash.xxh64_intdigest(words.encode("utf-8", "surrogatepass")) - (1 << 63), places
 

@@ -62,9 +62,10 @@ def looks_mixed(s: str) -> bool:
 
 def random_spans(text: str, taken: list[tuple[str, int, int]], path: str, most_chars_per_token: float) -> list[tuple[str, int, int, float]]:
     out = []
+    covered = common.Covered([(s, e) for _, s, e in taken])
     for m in CANDIDATE.finditer(text):
         s, (a, b) = m[0], m.span()
-        if not looks_mixed(s) or HARMLESS.match(s) or any(x < b and a < y for _, x, y in taken):
+        if not looks_mixed(s) or HARMLESS.match(s) or covered(a, b):
             continue
         if ADDRESS.match(text[b : b + 1]) or (a and ADDRESS.match(text[a - 1])):  # part of an address or a file name
             continue
