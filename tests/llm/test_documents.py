@@ -124,6 +124,8 @@ def test_pii_disclosure(spark):
     texts = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
     assert texts[0] == "alpha  wrote from <EMAIL> about the alpha report"
     assert texts[100] == rows[4][1]
+    key = lambda df: sorted((str(r["entity"]), str(r["term"]), str(r["context"]), r["n"]) for r in df.collect())
+    assert key(pii.evidence(docs, "text", 8)) == key(pii.evidence_of_hits(pii.find_base(docs, "doc_id", "text", 8, False)))
     joined = {r["doc_id"]: r["text"] for r in pii.sanitise_joined(docs, "doc_id", "text", 0.95).collect()}
     assert joined == texts
 

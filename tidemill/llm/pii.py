@@ -199,16 +199,46 @@ def term_lines(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term", "left_semi")
 
 
-def disclosures(docs: DataFrame, found: DataFrame, text_col: str, generalise_at: float, min_contexts: int) -> DataFrame | None:
-    """(entity, term, disclosure) from ``generalise_at``; None if no pair has enough contexts."""
+EVIDENCE = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()), T.StructField("context", T.LongType()), T.StructField("n", T.LongType())])
+
+
+def evidence_of_hits(found: DataFrame) -> DataFrame:
+    """(entity, term, context, n) from ``find_base``: rows that have the pair in the context; with a null term, the entity; with neither, lines."""
     hits = found.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
-    # a line counts once for a pair; a line is told apart by its document and its words
-    pairs = hits.groupBy("entity", "term", "context").agg(F.count_distinct("uid").alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count("*").alias("contexts"))
+    pairs = hits.groupBy("entity", "term", "context").agg(F.count_distinct("uid").alias("n"))
+    entities = hits.groupBy("entity", "context").agg(F.count_distinct("uid").alias("n")).withColumn("term", F.lit(None).cast("string"))
+    lines = found.agg(F.sum("n_lines").alias("n")).select(F.lit(None).cast("string").alias("entity"), F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("context"), "n")
+    return pairs.unionByName(entities).unionByName(lines)
+
+
+def evidence(docs: DataFrame, text_col: str, window: int) -> DataFrame:
+    """The same from the texts, counted in the tasks first; nothing is kept of the rows."""
+    target = to_arrow_schema(EVIDENCE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n: Counter[tuple] = Counter()
+            for text in batch.column(0).to_pylist():
+                text = text or ""
+                n[None, None, None] += text.count("\n") + 1
+                if spans := base_spans(text):
+                    near = [(e, c, p) for e, c, p in near_terms(text, spans, window) if p]
+                    n.update({(e, text[a:b].lower(), c) for e, c, p in near for a, b in p} | {(e, None, c) for e, c, _ in near})
+            rows = [[*k, v] for k, v in n.items()] or [[None, None, None, 0]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
+
+    return common.small_batches(docs).select(text_col).mapInArrow(run, EVIDENCE).groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
+
+
+def disclosures(docs: DataFrame, seen: DataFrame, text_col: str, generalise_at: float, min_contexts: int) -> DataFrame | None:
+    """(entity, term, disclosure) from ``generalise_at``; None if no pair has enough contexts. ``seen``: evidence."""
+    seen = materialize(seen, "pii-evidence")
+    pairs = seen.where(F.col("term").isNotNull()).groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count("*").alias("contexts"))
     pairs = materialize(pairs.where(F.col("contexts") >= min_contexts), "pii-pairs")
     if pairs.isEmpty():
         return None
-    n_lines = found.agg(F.sum("n_lines")).first()[0]
-    entities = hits.groupBy("entity", "context").agg(F.count_distinct("uid").alias("n")).groupBy("entity").agg(F.sum("n").alias("n_e"))
+    n_lines = seen.where(F.col("entity").isNull()).agg(F.sum("n")).first()[0]
+    entities = seen.where(F.col("entity").isNotNull() & F.col("term").isNull()).groupBy("entity").agg(F.sum("n").alias("n_e"))
     terms = term_lines(docs, text_col, pairs.select("term").distinct())
     scored = pairs.join(entities, "entity").join(terms, "term")
     information = -F.log2(F.col("n_e") / F.lit(float(n_lines)))
@@ -222,7 +252,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     A span: kind (email, ip, card, phone, term), start, end (code points), base, weight (disclosure of a term).
     """
     found = materialize(find_base(docs, id_col, text_col, window, keep_text), "pii-base")  # also pins the uids
-    held = disclosures(docs, found, text_col, generalise_at, min_contexts)
+    held = disclosures(docs, evidence_of_hits(found), text_col, generalise_at, min_contexts)
     if held is None:
         return found.drop("uid", "hits", "n_lines")
     hits = found.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.entity", "h.term", "h.start", "h.end")
@@ -252,8 +282,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
     Up to BROADCAST_PAIRS disclosing pairs are sent to the tasks, which mask the texts as they read them; more are joined.
     """
-    found = materialize(find_base(docs, id_col, text_col, window, False), "pii-base")
-    held = disclosures(docs, found, text_col, generalise_at, min_contexts)
+    held = disclosures(docs, evidence(docs, text_col, window), text_col, generalise_at, min_contexts)
     n = 0 if held is None else held.count()
     if n > BROADCAST_PAIRS:
         return sanitise_joined(docs, id_col, text_col, remove_at, window=window, min_contexts=min_contexts, generalise_at=generalise_at)
