@@ -425,6 +425,7 @@ def test_profile_types(spark, tmp_path):
     assert c["id"]["proposed"]["precision"] == 3 and c["id"]["proposed"]["description"] == "leading zeros"
     assert (c["price"]["proposed"]["precision"], c["price"]["proposed"]["scale"]) == (7, 3)
     assert c["ts"]["proposed"]["timezone"] is True and c["ts"]["proposed"]["precision"] == 3
+    assert c["price"]["kinds"] == {"decimal": 2} and c["note"]["kinds"] == {"text": 1}
     assert c["note"]["nulls"] == 1 and c["blank"]["proposed"]["description"] == "no values in the sample"
     assert c["price"]["numeric"]["histogram"]["counts"] == [1, 0, 0, 0, 0, 0, 0, 0, 0, 1] and c["as_of"]["temporal"]["min"] == "2026-09-08"
     committed.write_schema(s.dataset, schema)

@@ -7,7 +7,7 @@ all columns. What reaches the driver is a row for each column, file, bin or kept
 from __future__ import annotations
 
 import json
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import asdict, replace
 from datetime import date, datetime
 from pathlib import Path
@@ -54,10 +54,11 @@ def profile_table(df: DataFrame, files: list, options: typing.Options, json_colu
     numbered = df.join(F.broadcast(spark.createDataFrame(list(order.items()), "_source_file long, _file long")), "_source_file")
     text = numbered.select("_file", *[as_text(f).alias(f.name) for f in fields]).cache()
     melted = typing.melt(text, names)
-    kinds = {(r["file"], r["column"]): r for r in typing.infer(melted, options.date_formats).where(F.col("kind").isNotNull()).collect()}
-    of: dict[str, set[str]] = defaultdict(set)
+    kinds = {(r["file"], r["column"]): r for r in typing.infer(melted, options.date_formats, sums={"n_values": (F.count("value"), F.sum)}).where(F.col("kind").isNotNull()).collect()}
+    of: dict[str, Counter[str]] = defaultdict(Counter)
     for (_, c), r in kinds.items():
-        of[c].add(declared[c].data_type if c in declared and not (options.decimals and declared[c].data_type == "double" and r["kind"] == "decimal") else "json" if c in json_columns else r["kind"])
+        kind = (declared[c].data_type if c in declared and not (options.decimals and declared[c].data_type == "double" and r["kind"] == "decimal") else "json" if c in json_columns else r["kind"])
+        of[c][kind] += r["n_values"]
     counted = {r["column"]: r for r in stats.counts(melted).collect()}
     texts = {r["column"]: r for r in stats.text(melted).collect()}
     # kinds of (file, column), to read numbers and times of the files in which a column has them
@@ -82,7 +83,7 @@ def profile_table(df: DataFrame, files: list, options: typing.Options, json_colu
     values: dict[str, list] = defaultdict(list)
     for r in stats.categorical(melted, options.categorical_max).orderBy(F.col("n").desc(), "value").collect():
         values[r["column"]].append((r["value"], r["n"]))
-    key_report, facts = profile_keys(text, names, {c: k for c, k in of.items()}, len({f for f, _ in kinds}) or len(files), files, options)
+    key_report, facts = profile_keys(text, names, {c: set(k) for c, k in of.items()}, len({f for f, _ in kinds}) or len(files), files, options)
     columns, proposed = {}, []
     for f in fields:
         c, n, t = f.name, counted.get(f.name), texts.get(f.name)
@@ -95,7 +96,7 @@ def profile_table(df: DataFrame, files: list, options: typing.Options, json_colu
             nulls=n["nulls"] if n else 0,
             kinds=tuple(sorted(of[c])),
             reasons=tuple(sorted(reasons)),
-            declared=(declared[c],) if c in declared and of[c] <= {declared[c].data_type} else (),
+            declared=(declared[c],) if c in declared and set(of[c]) <= {declared[c].data_type} else (),
             min=num["min"] if num else None,
             max=num["max"] if num else None,
             int_digits=max((r["int_digits"] for r in rules), default=0),
@@ -109,7 +110,7 @@ def profile_table(df: DataFrame, files: list, options: typing.Options, json_colu
         column = propose.propose(fact, options)
         proposed.append(column)
         out: dict[str, Any] = {"proposed": {k: v for k, v in column.to_dict().items() if k != "name"}}
-        out |= {"rows": fact.rows, "nulls": fact.nulls, "null_ratio": n["null_ratio"] if n else None, "files": n["files"] if n else 0, "kinds": sorted(of[c])}
+        out |= {"rows": fact.rows, "nulls": fact.nulls, "null_ratio": n["null_ratio"] if n else None, "files": n["files"] if n else 0, "kinds": dict(sorted(of[c].items()))}
         if c in declared:
             out["file_types"] = [f.dataType.simpleString()]
         if reasons:
@@ -117,7 +118,7 @@ def profile_table(df: DataFrame, files: list, options: typing.Options, json_colu
         if num:
             out["numeric"] = {k: num[k] for k in ("min", "max", "zeros", "negatives")} | {"int_digits": fact.int_digits, "frac_digits": fact.frac_digits, "histogram": {"edges": stats.edges(num["min"], num["max"]), "counts": bins[c]}}
         if tmp:
-            kind = "date" if of[c] == {"date"} else "timestamp"
+            kind = "date" if set(of[c]) == {"date"} else "timestamp"
             out["temporal"] = {"min": iso(tmp["min"], kind), "max": iso(tmp["max"], kind), "formats": sorted({r["format"] for r in rules if r["format"]}), "timezone": None if kind == "date" else fact.zoned, "fraction_digits": tmp["fraction_digits"], "all_midnight": tmp["all_midnight"]}
         if t and "json" not in of[c]:
             out["text"] = {k: t[k] for k in ("min_len", "max_len", "max_bytes", "fixed_length", "empty")} | {"lengths": lengths[c], "flags": {q: t[q] for q in sorted(stats.QUIRKS) if t[q]}, "null_like": nulls[c]}
