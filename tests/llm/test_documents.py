@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -159,6 +160,46 @@ def test_random_strings(text, random):
     assert bool(found) == random
 
 
+@pytest.mark.parametrize(
+    ("text", "spans"),
+    [
+        ("jwt eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jTNvLZxT9bWqk1mAoeFp2cVhR7sYu0E ok", [(4, 96)]),
+        ("the key is Zx9Kq2LmN8vRt4YpW3sD7fGh1jBc. Then more", [(11, 39)]),
+        ("auth:Zx9Kq2LmN8vRt4YpW3sD7fGh1jBc", [(5, 33)]),
+        ("https://user:Zx9Kq2LmN8vRt4YpW3sD@git.example.org/team/repo", [(13, 33)]),
+        ("https://git.example.org/team?key=Zx9Kq2LmN8vRt4YpW3sD", [(29, 53)]),
+        ("user:Zx9Kq2LmN8vRt4YpW3sD@git.example.org", [(5, 25)]),
+        ("letters qWzXkVbTjRfGpLhYmCdNsKwQ only", [(8, 32)]),
+        ("100%Zx9Kq2LmN8vRt4YpW3sD7fGh1jBc", [(4, 32)]),
+        ("internationalization.responsibility.environment.configuration.Zx9Kq2LmN8vRt4YpW3sD7f", [(62, 84)]),
+        ("https://cdn.example.org/a1b2/Zx9Kq2LmN8vRt4YpW3sD7f see", []),
+        ("url=https://cdn.example.org:8080/Zx9Kq2LmN8vRt4YpW3sD7f", []),
+        ("write to q7x9k2m4z8w1v5t3r6p0n.k8j2@mail.example.org.", []),
+        ("q7x9k2m4z8w1v5t3r6p0n.cloudfront.net, and www.example.org/q7x9k2m4z8w1v5t3r6p0n", []),
+        ("images/q7x9k2m4z8w1v5t3r6p0nK.png:", []),
+        ("java.util.concurrent.ConcurrentHashMap and INTERNATIONALIZATION", []),
+        ("a-b-c-d-e-f-g-h-i-j-k-l 1.2.3.4.5.6.7.8.9.10.11 3.14159265358979323846264 10.0.19041-beta12+build20240101", []),
+        ("SHA1:DA39A3EE5E6B4B0D3255BFEF95601890AFD80709.", []),
+    ],
+)
+def test_random_strings_beside_marks(text, spans):
+    found = secrets.random_spans(text, secrets.base_spans(text), secrets.vocabulary(), 2.0)
+    assert [(a, b) for _, a, b, _ in found] == spans
+
+
+def test_random_letters_are_found():
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"), n)) for n in range(20, 41) for _ in range(10)]
+    assert sum(bool(secrets.random_spans(t, [], secrets.vocabulary(), 2.0)) for t in texts) >= 0.99 * len(texts)
+
+
+def test_marks_take_linear_time():
+    start = time.monotonic()
+    for t in ("a.", "1.1-", "a@", "://", "x:y@", "Ab1.", "ab1cd2ef3gh4ij5kl6mn7:", "ab1cd2ef3gh4ij5kl6mn7@"):
+        secrets.random_spans(t * 40_000 + "!", [], secrets.vocabulary(), 2.0)
+    assert time.monotonic() - start < 20
+
+
 def test_secret_case_is_ascii():
     assert secrets.base_spans("paſsword=abcdef KPASSWORD: 'abcdef'") == [("assign", 17, 34)]
 
