@@ -93,6 +93,29 @@ def test_recall(spark, sf):
     assert sum(len({i for i, _ in got[q]} & {i for _, i in x}) for q, x in want.items()) >= 0.9 * 10 * len(want)
 
 
+def test_recall_in_groups_of_copies(spark):
+    """Hundreds of copies of a vector, with ids in no order: ties go to the smallest ids."""
+    rng = np.random.default_rng(12)
+    kinds = rng.normal(size=(8, 16)).astype(np.float32)
+    ids = rng.permutation(6000)
+    rows = [(int(i), [float(x) for x in (kinds[n % 8] if n < 4000 else rng.normal(size=16).astype(np.float32))], 0) for n, i in enumerate(ids)]
+    got = rows_of(neighbours.search(spark.createDataFrame(rows, SCHEMA), every=50))
+    want = slow_nearest(rows, 50, 10)
+    copies = {i for i, _, _ in rows[:4000]}
+    assert all([i for i, _ in got[q]] == [i for _, i in x] for q, x in want.items() if q in copies)
+    assert sum(len({i for i, _ in got[q]} & {i for _, i in x}) for q, x in want.items()) >= 0.9 * 10 * len(want)
+
+
+def test_surplus_copies():
+    """A repeated id, and the query's own, don't take the places of others."""
+    ids = np.array([5] * 30 + [7, 3, 9, 8, 6] + [1])
+    rows = np.array([[1.0, 0.0]] * 35 + [[1.0, -0.0]])
+    held = neighbours.without_surplus(ids, rows, 2)
+    assert sorted(ids[held].tolist()) == [1, 3, 5, 5]
+    at, found, _ = neighbours.projected_search(2, 8, 0.97, 17)(np.array([5, 1]), rows[[0, 35]], ids, rows)
+    assert at.tolist() == [0, 0, 1, 1] and found.tolist() == [1, 3, 3, 5]
+
+
 def test_chi_square():
     assert math.isclose(neighbours.chi_square(2.0, 2), 1 - math.exp(-1))
     assert math.isclose(neighbours.chi_square(neighbours.chi_square_quantile(0.97, 8), 8), 0.97, rel_tol=1e-9)
