@@ -291,6 +291,22 @@ def test_probabilities_sum_to_one():
         assert math.isclose(model.probability(context * lm.SYMBOLS + np.arange(lm.SYMBOLS)).sum(), 1, rel_tol=1e-9)
 
 
+def test_new_tables_weigh_the_tables_before(monkeypatch):
+    """In all levels of the spelling model, from the second sweep on."""
+    rng = np.random.default_rng(1)
+    codes, n = np.unique(lm.spell([w.encode() for w in WORDS * 3])[0], return_counts=True)
+    first = lm.Spelling.seated(codes, n * 50, lm.Spelling.uniform(), rng)
+    shares, seat = [], lm.seat
+    monkeypatch.setattr(lm, "seat", lambda c, share, d, rng: shares.append((share, d)) or seat(c, share, d, rng))
+    lm.Spelling.seated(codes, n * 50, first, rng)
+    context = codes // lm.SYMBOLS
+    share, d = shares[0]
+    assert np.allclose(share, (lm.STRENGTH + d * first.tables[0][context]) * first.parent[context % lm.SYMBOLS, codes % lm.SYMBOLS])
+    share, d = shares[2]
+    assert np.allclose(share, (lm.STRENGTH + d * first.tables[2][0]) / lm.SYMBOLS)
+    assert first.tables[0].sum() > len(codes)
+
+
 def test_seating_matches_one_by_one():
     """Runs drawn as binomials seat as many tables as customers drawn one after another."""
     rng = np.random.default_rng(3)

@@ -81,6 +81,8 @@ class Spelling:
     own: np.ndarray
     parent_weight: np.ndarray
     parent: np.ndarray
+    #: Tables of each restaurant, of two bytes, one and none; none before the first sweep.
+    tables: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     @staticmethod
     def uniform() -> Spelling:
@@ -88,31 +90,32 @@ class Spelling:
 
     @staticmethod
     def seated(codes: np.ndarray, customers: np.ndarray, before: Spelling, rng: np.random.Generator) -> Spelling:
-        """Seat the customers of all levels; ``before`` gives the parents' probabilities."""
+        """Seat the customers of all levels; ``before`` gives the parents' probabilities and the restaurants' tables."""
         context, symbol = codes // SYMBOLS, codes % SYMBOLS
         last = context % SYMBOLS
 
-        def level(c: np.ndarray, restaurant: np.ndarray, n: int, base: np.ndarray) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+        def level(c: np.ndarray, restaurant: np.ndarray, n: int, base: np.ndarray, order: int) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
             d = discount_of(c)
-            kinds = np.bincount(restaurant, minlength=n)  # tables of a restaurant at least; the others' weigh in
-            t = seat(c, (STRENGTH + d * kinds[restaurant]) * base, d, rng)
+            # each dish has a table at least, which is what the first sweep knows
+            held = np.bincount(restaurant, minlength=n) if before.tables is None else before.tables[order]
+            t = seat(c, (STRENGTH + d * held[restaurant]) * base, d, rng)
             return t, d, np.bincount(restaurant, weights=c, minlength=n), np.bincount(restaurant, weights=t, minlength=n)
 
-        t2, d2, n2, k2 = level(customers, context, SYMBOLS * SYMBOLS, before.parent[last, symbol])
+        t2, d2, n2, k2 = level(customers, context, SYMBOLS * SYMBOLS, before.parent[last, symbol], 0)
         pair = last * SYMBOLS + symbol
         c1_all = np.bincount(pair, weights=t2, minlength=SYMBOLS * SYMBOLS)
         pairs = np.flatnonzero(c1_all)
         c1 = c1_all[pairs].astype(np.int64)
         p0_before = before.parent.mean(axis=0)
-        t1, d1, n1, k1 = level(c1, pairs // SYMBOLS, SYMBOLS, p0_before[pairs % SYMBOLS])
+        t1, d1, n1, k1 = level(c1, pairs // SYMBOLS, SYMBOLS, p0_before[pairs % SYMBOLS], 1)
         c0_all = np.bincount(pairs % SYMBOLS, weights=t1, minlength=SYMBOLS).astype(np.int64)
         seen = np.flatnonzero(c0_all)
-        t0, d0, n0, k0 = level(c0_all[seen], np.zeros(len(seen), np.int64), 1, np.full(len(seen), 1 / SYMBOLS))
+        t0, d0, n0, k0 = level(c0_all[seen], np.zeros(len(seen), np.int64), 1, np.full(len(seen), 1 / SYMBOLS), 2)
         p0 = np.full(SYMBOLS, (STRENGTH + d0 * k0[0]) / (STRENGTH + n0[0]) / SYMBOLS)
         p0[seen] += (c0_all[seen] - d0 * t0) / (STRENGTH + n0[0])
         p1 = ((STRENGTH + d1 * k1) / (STRENGTH + n1))[:, None] * p0[None, :]
         p1[pairs // SYMBOLS, pairs % SYMBOLS] += (c1 - d1 * t1) / (STRENGTH + n1[pairs // SYMBOLS])
-        return Spelling(codes, (customers - d2 * t2) / (STRENGTH + n2[context]), (STRENGTH + d2 * k2) / (STRENGTH + n2), p1)
+        return Spelling(codes, (customers - d2 * t2) / (STRENGTH + n2[context]), (STRENGTH + d2 * k2) / (STRENGTH + n2), p1, (k2, k1, k0))
 
     def probability(self, codes: np.ndarray) -> np.ndarray:
         context = codes // SYMBOLS
