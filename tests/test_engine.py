@@ -525,3 +525,12 @@ def test_arrivals(spark, space, tmp_path):
     for _ in range(2):
         watch(spark, str(space.remote), str(tmp_path / "ck"), lambda df, n: seen.extend(r["path"] for r in df.collect())).awaitTermination(60)
     assert len(seen) == 3
+
+
+def test_recurrence_of_many_values(spark):
+    """Counts are exact above a million values; a limit holds where it is asked for."""
+    df = spark.range(1_000_002).select(F.explode(F.array(F.lit(0), F.lit(1))).alias("file_no"), F.col("id").alias("a"))
+    held = keys.values(df.where("file_no = 0 or a < 3"), [("a",)], "file_no")
+    assert keys.recurrence(held, 2).first()[:] == ("a", 1_000_002, 3, 0.0)
+    assert keys.candidates(keys.per_file(held), keys.recurrence(held, 2), 2).first()["unique_overall"] is False
+    assert keys.recurrence(held, 2, distinct_max=1_000_000).first()[:] == ("a", None, None, None)

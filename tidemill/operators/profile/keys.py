@@ -55,11 +55,11 @@ def churn(held: DataFrame, files: DataFrame) -> DataFrame:
     return got.select("key_set", "file_no", "keys", F.when(later, F.coalesce("new", F.lit(0))).alias("n_new"), F.when(later, F.coalesce("dropped", F.lit(0))).alias("n_dropped"))
 
 
-def recurrence(held: DataFrame, n_files: int, distinct_max: int = 1_000_000) -> DataFrame:
-    """(key_set, n_distinct, n_recurring, repeat_ratio); null counts above ``distinct_max``, and no ratio of one file."""
+def recurrence(held: DataFrame, n_files: int, distinct_max: int | None = None) -> DataFrame:
+    """(key_set, n_distinct, n_recurring, repeat_ratio); null counts above ``distinct_max`` if it is given, and no ratio of one file."""
     each = held.where(F.col("key").isNotNull()).groupBy("key_set", "key").agg(F.count("*").alias("n_files"))
     sums = each.groupBy("key_set").agg(F.count("*").alias("d"), F.count_if(F.col("n_files") > 1).alias("r"))
-    known = F.col("d") <= distinct_max
+    known = F.lit(True) if distinct_max is None else F.col("d") <= distinct_max
     ratio = F.when(known & (F.col("d") > 0) & F.lit(n_files >= 2), F.round(F.col("r") / F.col("d"), 4))
     return sums.select("key_set", F.when(known, F.col("d")).alias("n_distinct"), F.when(known, F.col("r")).alias("n_recurring"), ratio.alias("repeat_ratio"))
 
