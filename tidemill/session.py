@@ -26,26 +26,39 @@ def local_session(name: str = "tidemill", cpus: int | str = "*", memory: str = "
 
 
 def work_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; on a local session, a folder of our own where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "/tmp/checkpoints/tidemill"
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back.
 
-    A lost executor costs nothing then, and a table that is used several times is computed once.
+    A lost executor costs nothing then, and a table that is used several times is computed once. ``by``: a column whose
+    values have folders of their own, so filters on it read no more than they need.
     """
     spark = df.sparkSession
     path = f"{work_root(spark)}/tidemill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` has returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.work_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_work(spark: SparkSession) -> None:
