@@ -263,66 +263,6 @@ def test_schedule_is_inverted(spark):
             assert math.isclose(so_far + factor * (t - start) + slope * (t - start) ** 2 / 2, share, abs_tol=1e-9)
 
 
-# --- 5: language model ---
-
-
-def test_language_model(docs):
-    out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    got = {r["id"]: r for r in lm.score(docs, out).collect()}
-    texts = {r["doc_id"]: words(lower(r["text"])) + ["\0"] for r in docs.collect()}
-    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
-    c = Counter(w for d, t in texts.items() if not held[d] for w in t)
-    n, v = sum(c.values()), len(c)
-    for d, t in texts.items():
-        r = got[d]
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[d], len(t), sum(c[w] > 0 for w in t), n)
-        assert math.isclose(r["base_score"], sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9)
-    test = [r for r in got.values() if r["held_out"]]
-    assert sum(r["score"] for r in test) > sum(r["base_score"] for r in test)
-
-
-def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(1)
-    codes, n = np.unique(lm.spell([w.encode() for w in WORDS * 3 + ["", "a"]])[0], return_counts=True)
-    model = lm.Spelling.uniform()
-    for _ in range(3):
-        model = lm.Spelling.seated(codes, n * 5, model, rng)
-    for context in (0, 97 * lm.SYMBOLS + 108, lm.EDGE * lm.SYMBOLS + lm.EDGE):
-        assert math.isclose(model.probability(context * lm.SYMBOLS + np.arange(lm.SYMBOLS)).sum(), 1, rel_tol=1e-9)
-
-
-def test_new_tables_weigh_the_tables_before(monkeypatch):
-    """In all levels of the spelling model, from the second sweep on."""
-    rng = np.random.default_rng(1)
-    codes, n = np.unique(lm.spell([w.encode() for w in WORDS * 3])[0], return_counts=True)
-    first = lm.Spelling.seated(codes, n * 50, lm.Spelling.uniform(), rng)
-    shares, seat = [], lm.seat
-    monkeypatch.setattr(lm, "seat", lambda c, share, d, rng: shares.append((share, d)) or seat(c, share, d, rng))
-    lm.Spelling.seated(codes, n * 50, first, rng)
-    context = codes // lm.SYMBOLS
-    share, d = shares[0]
-    assert np.allclose(share, (lm.STRENGTH + d * first.tables[0][context]) * first.parent[context % lm.SYMBOLS, codes % lm.SYMBOLS])
-    share, d = shares[2]
-    assert np.allclose(share, (lm.STRENGTH + d * first.tables[2][0]) / lm.SYMBOLS)
-    assert first.tables[0].sum() > len(codes)
-
-
-def test_seating_matches_one_by_one():
-    """Runs drawn as binomials seat as many tables as customers drawn one after another."""
-    rng = np.random.default_rng(3)
-
-    def slow(c, share, d):
-        t = 0
-        for j in range(c):
-            t += rng.random() < (share / (j - d * t + share) if j else 1)
-        return t
-
-    for c, share, d in ((50, 2.0, 0.5), (400, 0.5, 0.8), (1000, 20.0, 0.3)):
-        fast = lm.seat(np.full(2000, c), np.full(2000, share), d, rng)
-        want = np.mean([slow(c, share, d) for _ in range(300)])
-        assert abs(fast.mean() - want) < 0.06 * want + 0.3 and fast.min() >= 1 and fast.max() <= c
-
-
 # --- 6: near-duplicates ---
 
 
