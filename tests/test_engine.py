@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill import schema as committed
-from tidemill.alerts import Notifier, report_findings, root_cause
+from tidemill.alerts import Notifier, failure, findings, root_cause
 from tidemill.config import Dataset, Feed, Remote, Table, coerce_option
 from tidemill.operators import checks, classify, discover, merge, mirror, nest, planning
 from tidemill.operators import manifest as m
@@ -196,6 +196,58 @@ def test_reload_is_idempotent(space):
     assert e.load(space.table, date(2020, 1, 1)).rows == 0 and e.target("em").count() == 3
 
 
+def test_lists_go_and_come_with_their_parents(spark, tmp_path):
+    """Under a keyed merge: rows of replaced parents go, and those of rows that lose to one with the same key don't come."""
+    root = f"file://{tmp_path}"
+    w = merge.Writer(merge.Upsert(("k",)))
+
+    def load(file, *rows):
+        schema = "k long, a struct<items: array<struct<n: long, tags: array<string>>>>, _source_file long, _position long"
+        return w.write(spark.createDataFrame([(k, ([(n, [f"t{n}"]) for n in items],), file, i) for i, (k, items) in enumerate(rows)], schema), root, "t")
+
+    held = lambda name, c: sorted(r[c] for r in w.current(spark, root, name).collect())
+    load(1, (1, [10, 11]), (2, [12]))
+    assert held("t__a__items", "n") == [10, 11, 12]
+    load(2, (1, [20]), (3, [30]), (3, [31]))
+    assert held("t", "k") == [1, 2, 3] and held("t__a__items", "n") == [12, 20, 31] and held("t__a__items__tags", "value") == ["t12", "t20", "t31"]
+    load(3, (1, []))
+    assert held("t__a__items", "n") == [12, 31]
+    # a load without lists takes away those of the rows that it replaces
+    w.write(spark.createDataFrame([(3, 4, 0)], "k long, _source_file long, _position long"), root, "t")
+    assert held("t", "k") == [1, 2, 3] and held("t__a__items", "n") == [12] and held("t__a__items__tags", "value") == ["t12"]
+    ids = {r["_row_id"] for r in w.current(spark, root, "t").collect()}
+    assert {r["_parent_id"] for r in w.current(spark, root, "t__a__items").collect()} <= ids
+    # two states are kept, and no stage
+    assert len(list((tmp_path / "t").glob("snapshot-*"))) == 2 and not list((tmp_path / "t").glob("stage-*"))
+
+
+def test_a_load_that_breaks_off_changes_nothing(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}"
+    w = merge.Writer(merge.Upsert(("k",)))
+    row = lambda k, n: spark.createDataFrame([(k, [n], 1, 0)], "k long, items array<long>, _source_file long, _position long")
+    w.write(row(1, 1), root, "t")
+    add = merge.Records.add
+    monkeypatch.setattr(merge.Records, "add", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        w.write(row(1, 2), root, "t")
+    monkeypatch.setattr(merge.Records, "add", add)
+    values = lambda: [r["value"] for r in w.current(spark, root, "t__items").collect()]
+    assert values() == [1]
+    (tmp_path / "t/records/v=2").mkdir()  # a record that was begun
+    assert values() == [1]
+    w.write(row(1, 3), root, "t")
+    assert values() == [3] and w.current(spark, root, "t").count() == 1
+
+
+def test_days_without_lists_any_more(spark, tmp_path):
+    root, w = f"file://{tmp_path}", merge.Writer()
+    row = lambda items: spark.createDataFrame([(date(2026, 1, 5), 1, items, 1, 0)], "_business_date date, k long, items array<long>, _source_file long, _position long")
+    w.write(row([1, 2]), root, "t", metadata=("_business_date",))
+    assert w.current(spark, root, "t__items").count() == 2
+    w.write(row([1]).drop("items"), root, "t", metadata=("_business_date",))
+    assert w.current(spark, root, "t__items") is None and w.current(spark, root, "t").count() == 1
+
+
 def test_upsert(spark, tmp_path):
     s = Space(spark, tmp_path, writer=merge.Writer(merge.Upsert(("isin",))))
     s.put("em-2026-09-08.csv", "isin,price\nXS1,1.0\nXS7,7.0\n")
@@ -294,16 +346,53 @@ def test_csv_types(spark, tmp_path):
     assert [r["id"] for r in read(spark, tmp_path, readers.CsvReader(), [("b.csv", "id\n007\n")], "string")] == ["007"]
 
 
-def test_large_files_split(spark, tmp_path, monkeypatch):
-    """Spark's own reader and whole files give the same rows."""
-    files = [("a.csv", 'id,price,d,flag,note,t\n1,1.5,2026-09-08,true,"x ""q"" y",2026-09-08 10:30:00\n2,NA,2026-09-09,false,,\n'), ("b.csv", "price,id,more\n3,007,x\n")]
-    typed = T.StructType([T.StructField("id", T.StringType()), T.StructField("price", T.DecimalType(5, 2)), T.StructField("d", T.DateType())])
-    for types in (None, typed, "string"):
-        whole = read(spark, tmp_path, readers.CsvReader(), files, types)
+ODD_VALUES = ("1", " 1 ", "007", "-0", "+5", "99999999999999999999", "1.50", " 2.5", "1e3", ".5", "5.", "1,000", "true", "TRUE", "yes", "NaN", "NA", "-", "2026-09-08", "2026-9-8", "20260908", "2026-09-08 10:30", "2026-09-08T10:30:00Z", "10:30", "x", "é")
+
+
+@pytest.mark.parametrize(("delimiter", "options"), [(",", {}), (";", {"quote_char": None}), ("|", {"null_values": ("-",), "strings_can_be_null": False}), ("\t", {"date_formats": ("%Y%m%d",), "column_names": tuple(f"n{i}" for i in range(len(ODD_VALUES)))})])
+def test_both_ways_of_reading_text_agree(spark, tmp_path, monkeypatch, delimiter, options):
+    """Spark's own reader, and tasks that read whole files: the same columns, types and rows, whatever the size. Each value has a column."""
+    values = [f'"{v}"' if delimiter in v else v for v in ODD_VALUES]
+    head = "" if "column_names" in options else delimiter.join(f"n{i}" for i in range(len(values))) + "\n"
+    files = [("all.csv", head + (delimiter.join(values) + "\n") * 2)]
+    reader = readers.CsvReader(delimiter=delimiter, **options)
+    for types in ("string", None):
+        split = read(spark, tmp_path, reader, files, types)
         with monkeypatch.context() as m:
-            m.setattr(readers, "SPLIT_FROM", 0)
-            split = read(spark, tmp_path, readers.CsvReader(), files, types)
-        assert [r.asDict() for r in split] == [r.asDict() for r in whole]
+            m.setattr(readers.CsvReader, "splits", lambda self: False)
+            whole = read(spark, tmp_path, reader, files, types)
+        assert [r.asDict() for r in split] == [r.asDict() for r in whole] and len(split) == 2
+
+
+def test_types_are_inferred_from_all_values(spark, tmp_path):
+    files = [("a.csv", "id,price,d,flag,note,t\n1,1.5,2026-09-08,true,x,2026-09-08 10:30:00\n2,NA,2026-09-09,false,,\n"), ("b.csv", "price,id,more\n3,007,x\n")]
+    rows = read(spark, tmp_path, readers.CsvReader(), files)
+    assert [(r["id"], r["price"], r["d"], r["flag"], r["more"]) for r in rows] == [(1, 1.5, date(2026, 9, 8), True, None), (2, None, date(2026, 9, 9), False, None), (7, 3.0, None, None, "x")]
+
+
+def test_first_rows_end_the_reading(spark, tmp_path):
+    """What comes after the rows that are asked for isn't parsed."""
+    line = '{"a": %d}'
+    cases = [(readers.CsvReader(), "a.csv", "a\n" + "".join(f"{i}\n" for i in range(20)) + "x,y,z\n"), (readers.CsvReader(block_size=16), "b.csv.v2", "a\n" + "".join(f"{i}\n" for i in range(20)) + "x,y,z\n"), (readers.JsonReader(), "c.json", "\n".join(line % i for i in range(20)) + "\n{broken")]
+    for reader, name, text in cases[1:]:
+        path = tmp_path / name
+        path.write_text(text)
+        files = spark.createDataFrame([(1, f"file://{path}", None)], "file_id long, path string, member string")
+        assert sorted(int(r["a"]) for r in readers.first_rows(reader, files, "string", 3).collect()) == [0, 1, 2], name
+
+
+def test_xml_of_archives_and_later_versions(spark, tmp_path):
+    import zipfile
+
+    page = "<t><r><a>%d</a></r></t>"
+    with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
+        z.writestr("m.xml", page % 1)
+        z.writestr("n.xml", page % 2)
+    (tmp_path / "x.xml").write_text(page % 3)
+    (tmp_path / "x.xml.v2").write_text(page % 4)
+    files = spark.createDataFrame([(1, f"file://{tmp_path}/z.zip", "n.xml"), (2, f"file://{tmp_path}/x.xml", None), (3, f"file://{tmp_path}/x.xml.v2", None)], "file_id long, path string, member string")
+    got = readers.XmlReader("r").read(files).select("_source_file", "a").collect()
+    assert sorted(map(tuple, got)) == [(1, 2), (2, 3), (3, 4)]
 
 
 def test_formats(spark, tmp_path):
@@ -360,9 +449,10 @@ def test_delivery(spark, space):
     old = check.evaluate(ctx)
     assert not old.passed and old.severity == "ERROR" and len(old.metadata["violations"]) == 3
     assert checks.Delivery(Yearly(1, 1), lag_days=1000).evaluate(ctx).passed is False
-    mails = []
-    report_findings(type("N", (Notifier,), {"send": lambda self, s, b: mails.append(s)})(), "tw/em", {"a": late, "b": old}, ["c"])
-    assert mails == ["[tidemill] 1 check(s) failed", "[tidemill] schema change"]
+    alerts = list(findings("tw/em", {"a": late, "b": old}, ["c"]))
+    assert [a.subject for a in alerts] == ["[tidemill] 1 failed checks of tw/em", "[tidemill] new columns in tw/em"]
+    mail = Notifier(recipients="a@b.example, c@d.example").message(failure("x", ValueError("why")))
+    assert (mail["To"], mail["Subject"], mail.get_content().strip()) == ("a@b.example, c@d.example", "[tidemill] failed: x", "why")
 
 
 def test_root_cause():
@@ -386,11 +476,11 @@ def test_runs(spark):
 
 
 def test_config():
-    with pytest.raises(ValueError, match="plain folder names"):
+    with pytest.raises(ValueError, match="name of a folder"):
         Feed("f", Remote(), "", {"a/b": "/x"})
     t = Table("f", "t", patterns.Patterns((r"(\d+)",)))
     assert t.with_expectation(None).checks == () and t.key == "f/t"
-    with pytest.raises(ValueError, match="already"):
+    with pytest.raises(ValueError, match="several checks are named delivery"):
         t.with_check(checks.Delivery())
     with pytest.raises(ValueError, match="another feed"):
         Dataset(Feed("g", Remote(), "", {"a": "/x"}), (t,))
@@ -426,7 +516,7 @@ def test_profile_types(spark, tmp_path):
     assert (c["price"]["proposed"]["precision"], c["price"]["proposed"]["scale"]) == (7, 3)
     assert c["ts"]["proposed"]["timezone"] is True and c["ts"]["proposed"]["precision"] == 3
     assert c["price"]["kinds"] == {"decimal": 2} and c["note"]["kinds"] == {"text": 1}
-    assert c["note"]["nulls"] == 1 and c["blank"]["proposed"]["description"] == "no values in the sample"
+    assert c["note"]["nulls"] == 1 and c["blank"]["proposed"]["description"] == "there were no values"
     assert c["price"]["numeric"]["histogram"]["counts"] == [1, 0, 0, 0, 0, 0, 0, 0, 0, 1] and c["as_of"]["temporal"]["min"] == "2026-09-08"
     committed.write_schema(s.dataset, schema)
     assert committed.committed_types(s.dataset, "em")["price"].dataType == T.DecimalType(7, 3)
@@ -461,14 +551,27 @@ def test_profile_nested(spark, tmp_path):
     assert schema["em__coupons"]["columns"]["on"]["data_type"] == "date" and schema["em"]["columns"]["issuer__name"]["data_type"] == "text"
 
 
-def test_propose_sizes():
-    o = typing.Options(narrow=True)
-    of = lambda **k: propose.propose(propose.Facts("c", rows=2, **k), o)
-    assert of(kinds=("bigint",), min=-5, max=300).precision == 16 and of(kinds=("bigint",), min=0, max=100_000).precision == 32 and of(kinds=("bigint",), min=0, max=2**40).precision is None
-    assert of(kinds=("text",), min_len=12, max_len=12, varied=True).precision == 12 and of(kinds=("text",), min_len=1, max_len=80).precision == 255 and of(kinds=("text",), min_len=1, max_len=5000).precision is None
-    assert of(kinds=("bigint", "text"), min_len=1, max_len=2).description == "mixed value kinds: bigint, text"
-    assert of(kinds=("bigint", "decimal"), int_digits=3, frac_digits=2).description == "decimal(7,2) with --decimals"
-    assert propose.suggest_merge([], 3).merge == "ReplaceDay" and propose.suggest_merge([(["a"], 0.9)], 3).merge == "Upsert" and propose.suggest_merge([(["a"], None)], 1).merge is None
+def test_propose_sizes(spark):
+    def of(*facts, **options):
+        rows = [{"name": str(i), "rows": 2, "nulls": 0, "reasons": [], "declared": [], "int_digits": 0, "frac_digits": 0, "zoned": False, "fraction_digits": 0, "varied": False} | f for i, f in enumerate(facts)]
+        made = propose.propose(spark.createDataFrame(rows, propose.FACTS), typing.Options(**options)).collect()
+        return [propose.Column(**r.asDict()) for r in sorted(made, key=lambda r: int(r["name"]))]
+
+    narrow = of({"kinds": ["bigint"], "min": -5.0, "max": 300.0}, {"kinds": ["bigint"], "min": 0.0, "max": 1e5}, {"kinds": ["bigint"], "min": 0.0, "max": 2.0**40}, {"kinds": ["bigint"]}, narrow=True)
+    assert [c.precision for c in narrow] == [16, 32, None, None] and {c.data_type for c in narrow} == {"bigint"}
+    text = of({"kinds": ["text"], "min_len": 12, "max_len": 12, "varied": True}, {"kinds": ["text"], "min_len": 1, "max_len": 80}, {"kinds": ["text"], "min_len": 1, "max_len": 5000}, {"kinds": []}, {"kinds": ["bigint", "text"], "min_len": 1, "max_len": 2})
+    assert [c.precision for c in text] == [12, 255, None, None, 20] and {c.data_type for c in text} == {"text"}
+    assert [c.description for c in text[3:]] == ["there were no values", "no type holds all of: bigint, text"]
+    number = {"kinds": ["bigint", "decimal"], "int_digits": 3, "frac_digits": 2, "reasons": ["b", "a"]}
+    assert of(number)[0].to_dict() == {"name": "0", "data_type": "double", "nullable": True, "description": "would fit decimal(7,2), see --decimals"}
+    assert of(number, decimals=True, strict_nulls=True)[0].to_dict() == {"name": "0", "data_type": "decimal", "nullable": False, "precision": 7, "scale": 2, "description": "a / b"}
+    times = of(*[{"kinds": ["date", "timestamp"], "zoned": n > 3, "fraction_digits": n} for n in (0, 3, 5, 6)])
+    assert [(c.data_type, c.precision, c.timezone) for c in times] == [("timestamp", None, False), ("timestamp", 3, False), ("timestamp", 7, True), ("timestamp", 6, True)]
+    small, wide, day = ({"data_type": "bigint", "precision": 8}, {"data_type": "bigint", "precision": 32}, {"data_type": "date"})
+    files = of({"kinds": ["bigint"], "declared": [small, wide]}, {"kinds": ["bigint", "date"], "declared": [small, day]}, {"kinds": ["bigint", "text"], "declared": [small]}, {"kinds": [], "declared": [day]}, keys=("0",))
+    assert [(c.data_type, c.precision, c.nullable) for c in files] == [("bigint", 32, False), ("text", None, True), ("text", 20, True), ("date", None, True)]
+    assert files[1].description == "files differ in type: bigint, date"
+    assert [propose.suggest_merge(*x)["merge"] for x in (([], 3), ([(["a"], 0.9)], 3), ([(["a"], 0.1)], 3), ([(["a"], None)], 1))] == ["ReplaceDay", "Upsert", "ReplaceDay", None]
 
 
 def test_sniff():

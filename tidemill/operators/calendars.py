@@ -81,21 +81,22 @@ class Yearly:
 class Exchange:
     """Sessions of an exchange.
 
-    They come from ``sessions``, the path of a Parquet table (exchange string, d date); from the package
-    exchange_calendars if there is no path and the package is installed; else they are Monday to Friday.
+    They come from ``sessions``, a table (exchange string, d date) or the path of one in Parquet, or from the package
+    exchange_calendars; where there is neither, asking for days is an error, for a guess would hide missing files.
     """
 
     name: str = "XLON"
     holidays: tuple[date, ...] = ()
-    sessions: str | None = None
+    sessions: str | DataFrame | None = None
 
     def days(self, spark, start, end):
-        if self.sessions:
-            held = spark.read.parquet(self.sessions).where((F.col("exchange") == self.name) & F.col("d").between(F.lit(start), F.lit(end)))
+        if self.sessions is not None:
+            table = spark.read.parquet(self.sessions) if isinstance(self.sessions, str) else self.sessions
+            held = table.where((F.col("exchange") == self.name) & F.col("d").between(F.lit(start), F.lit(end)))
             return chosen(held.select("d"), F.lit(True), self.holidays)
         try:
             import exchange_calendars
-        except ImportError:
-            return Weekdays(self.holidays).days(spark, start, end)
+        except ImportError as e:
+            raise ValueError(f"no sessions of {self.name}: give a table of sessions, install exchange_calendars, or take Weekdays") from e
         found = exchange_calendars.get_calendar(self.name).sessions_in_range(str(start), str(end))
         return chosen(spark.createDataFrame([(d.date(),) for d in found], "d date"), F.lit(True), self.holidays)

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import nest
@@ -87,19 +88,21 @@ class JdbcWriter:
         if committed is not None:
             tables[name] = conform(tables[name], committed)
         stages: dict[str, tuple[str, list[str]]] = {}
+        kept: dict[str, DataFrame] = {}
         n = 0
         try:
-            for t, df in tables.items():
+            for t, df in tables.items():  # parents come first
                 if isinstance(self.merge, Upsert) and t == name:
                     df = survivors(df, self.merge.keys, tuple(c for c in ("_source_file", "_position") if c in df.columns))
-                df = df.drop("_position").persist()
+                elif isinstance(self.merge, Upsert):  # lists of the rows that stay
+                    df = df.join(kept[nest.parent_of(t, kept)].select(F.col(nest.ROW_ID).alias(nest.PARENT_KEY)), nest.PARENT_KEY, "left_semi")
+                kept[t] = df = df.drop("_position").persist()
                 n += df.count()
                 stage = f"{t}__{uuid.uuid4().hex[:8]}"
                 stages[t] = (stage, df.columns)
                 self.create(df, stage)
                 self.create(df, t)
                 df.write.jdbc(self.url, self.quoted(stage), "append", self.properties)
-                df.unpersist()
             with self.connection(spark) as c:
                 for t, (stage, columns) in stages.items():
                     self.evolve(spark, c, t, stage)
@@ -109,6 +112,8 @@ class JdbcWriter:
                     names = ", ".join(map(self.quoted, columns))
                     self.run(c, f"INSERT INTO {self.quoted(t)} ({names}) SELECT {names} FROM {self.quoted(stage)}")
         finally:
+            for df in kept.values():
+                df.unpersist()
             with self.connection(spark) as c:
                 for stage, _ in stages.values():
                     if self.has(c, stage):
@@ -123,7 +128,7 @@ class JdbcWriter:
         if isinstance(self.merge, ReplaceDay):  # child rows have the day too
             return f"DELETE FROM {target} WHERE {self.quoted(DAY)} IN (SELECT {self.quoted(DAY)} FROM {top})"
         if t != name:  # rows of parents that are replaced now
-            parent = t.rpartition("__")[0]
+            parent = nest.parent_of(t, stages)
             keyed = f"SELECT p.{self.quoted(nest.ROW_ID)} FROM {self.quoted(parent)} p" + (f" WHERE {self.same_keys('p', top)}" if parent == name else f" WHERE p.{self.quoted(nest.PARENT_KEY)} IN (SELECT {self.quoted(nest.PARENT_KEY)} FROM {self.quoted(stages[parent][0])})")
             return f"DELETE FROM {target} WHERE {self.quoted(nest.PARENT_KEY)} IN ({keyed})"
         return f"DELETE FROM {target} WHERE {self.same_keys(target, top)}"

@@ -42,6 +42,11 @@ def row_id(df: DataFrame) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
+def parent_of(name: str, tables) -> str | None:
+    """The table whose list ``name`` is: the longest name that it goes on from."""
+    return max((t for t in tables if name.startswith(f"{t}__")), key=len, default=None)
+
+
 def denest(df: DataFrame, name: str, max_nesting: int | None = None, carried: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """The table and its child tables ``<table>__<field>``, recursively, in the order parent before child.
 

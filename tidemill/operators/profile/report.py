@@ -84,47 +84,38 @@ def profile_table(df: DataFrame, files: list, options: typing.Options, json_colu
     for r in stats.categorical(melted, options.categorical_max).orderBy(F.col("n").desc(), "value").collect():
         values[r["column"]].append((r["value"], r["n"]))
     key_report, facts = profile_keys(text, names, {c: set(k) for c, k in of.items()}, len({f for f, _ in kinds}) or len(files), files, options)
-    columns, proposed = {}, []
+    columns, facts_of = {}, []
     for f in fields:
         c, n, t = f.name, counted.get(f.name), texts.get(f.name)
         rules = [r for (_, k), r in kinds.items() if k == c]
-        num, tmp = numeric.get(c), temporal.get(c)
-        reasons = {r["reason"] for r in rules if r["reason"]} if c not in declared else set()
-        fact = propose.Facts(
-            name=c,
-            rows=n["rows"] if n else 0,
-            nulls=n["nulls"] if n else 0,
-            kinds=tuple(sorted(of[c])),
-            reasons=tuple(sorted(reasons)),
-            declared=(declared[c],) if c in declared and set(of[c]) <= {declared[c].data_type} else (),
-            min=num["min"] if num else None,
-            max=num["max"] if num else None,
-            int_digits=max((r["int_digits"] for r in rules), default=0),
-            frac_digits=max((r["frac_digits"] for r in rules), default=0),
-            zoned=any(r["zoned"] for r in rules) or bool(c in declared and declared[c].timezone),
-            fraction_digits=tmp["fraction_digits"] if tmp else 0,
-            min_len=t["min_len"] if t else None,
-            max_len=t["max_len"] if t else None,
-            varied=bool(t and t["varied"]),
-        )
-        column = propose.propose(fact, options)
-        proposed.append(column)
-        out: dict[str, Any] = {"proposed": {k: v for k, v in column.to_dict().items() if k != "name"}}
-        out |= {"rows": fact.rows, "nulls": fact.nulls, "null_ratio": n["null_ratio"] if n else None, "files": n["files"] if n else 0, "kinds": dict(sorted(of[c].items()))}
-        if c in declared:
+        num, tmp, typed_by_file = numeric.get(c), temporal.get(c), declared.get(c)
+        most = lambda what: max((r[what] for r in rules), default=0)  # noqa: E731, B023
+        reasons = sorted({r["reason"] for r in rules if r["reason"]}) if typed_by_file is None else []
+        fact = {"name": c, "rows": n["rows"] if n else 0, "nulls": n["nulls"] if n else 0, "kinds": sorted(of[c]), "reasons": reasons}
+        fact |= {"min": num["min"] if num else None, "max": num["max"] if num else None, "int_digits": most("int_digits"), "frac_digits": most("frac_digits")}
+        fact |= {"zoned": any(r["zoned"] for r in rules) or bool(typed_by_file and typed_by_file.timezone), "fraction_digits": tmp["fraction_digits"] if tmp else 0}
+        fact |= {"min_len": t["min_len"] if t else None, "max_len": t["max_len"] if t else None, "varied": bool(t and t["varied"])}
+        fact["declared"] = [typed_by_file.to_dict()] if typed_by_file and set(of[c]) <= {typed_by_file.data_type} else []
+        facts_of.append(fact)
+        out: dict[str, Any] = {"rows": fact["rows"], "nulls": fact["nulls"], "null_ratio": n["null_ratio"] if n else None, "files": n["files"] if n else 0, "kinds": dict(sorted(of[c].items()))}
+        if typed_by_file:
             out["file_types"] = [f.dataType.simpleString()]
         if reasons:
-            out["reasons"] = sorted(reasons)
+            out["reasons"] = reasons
         if num:
-            out["numeric"] = {k: num[k] for k in ("min", "max", "zeros", "negatives")} | {"int_digits": fact.int_digits, "frac_digits": fact.frac_digits, "histogram": {"edges": stats.edges(num["min"], num["max"]), "counts": bins[c]}}
+            out["numeric"] = {k: num[k] for k in ("min", "max", "zeros", "negatives")} | {"int_digits": fact["int_digits"], "frac_digits": fact["frac_digits"], "histogram": {"edges": stats.edges(num["min"], num["max"]), "counts": bins[c]}}
         if tmp:
             kind = "date" if set(of[c]) == {"date"} else "timestamp"
-            out["temporal"] = {"min": iso(tmp["min"], kind), "max": iso(tmp["max"], kind), "formats": sorted({r["format"] for r in rules if r["format"]}), "timezone": None if kind == "date" else fact.zoned, "fraction_digits": tmp["fraction_digits"], "all_midnight": tmp["all_midnight"]}
+            out["temporal"] = {"min": iso(tmp["min"], kind), "max": iso(tmp["max"], kind), "formats": sorted({r["format"] for r in rules if r["format"]}), "timezone": None if kind == "date" else fact["zoned"], "fraction_digits": tmp["fraction_digits"], "all_midnight": tmp["all_midnight"]}
         if t and "json" not in of[c]:
             out["text"] = {k: t[k] for k in ("min_len", "max_len", "max_bytes", "fixed_length", "empty")} | {"lengths": lengths[c], "flags": {q: t[q] for q in sorted(stats.QUIRKS) if t[q]}, "null_like": nulls[c]}
         if values[c]:
             out["categorical"] = dict(values[c])
         columns[c] = out | facts.get(c, {"distinct": None, "unique": None, "unique_in_file": None})
+    rows = propose.propose(spark.createDataFrame(facts_of, propose.FACTS), options).collect() if facts_of else []
+    by_name = {r["name"]: propose.Column(**r.asDict()) for r in rows}
+    proposed = [by_name[f.name] for f in fields]
+    columns = {c: {"proposed": {k: v for k, v in by_name[c].to_dict().items() if k != "name"}} | out for c, out in columns.items()}
     per_file = {r["_file"]: r["n"] for r in text.groupBy("_file").agg(F.count("*").alias("n")).collect()}
     by_date: dict[str, dict[str, int]] = defaultdict(lambda: {"files": 0, "rows": 0})
     for f in files:
@@ -201,7 +192,7 @@ def profile(spark, dataset: Dataset, table: Table, files: list, options: typing.
     if isinstance(upsert, merge.Upsert) and not options.keys:
         options = replace(options, keys=upsert.keys)
     source = spark.createDataFrame([(f.id, f.local_path, f.member) for f in files], "file_id long, path string, member string")
-    rows = first_rows(table.reader.read(source, "string"), options.max_rows)
+    rows = first_rows(table.reader, source, "string", options.max_rows)
     tables = nest.denest(rows, table.name, getattr(table.writer, "max_nesting", None), carried=("_source_file",))
     nested = {f.name for f in rows.schema if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))}
     report_tables, schema = {}, {}
@@ -210,7 +201,7 @@ def profile(spark, dataset: Dataset, table: Table, files: list, options: typing.
         data, proposed = profile_table(df, files, options, columns)
         if name == table.name:
             best = [(c["columns"], c["repeat_ratio"]) for c in data["keys"]["candidates"]]
-            data["suggested"] = asdict(propose.suggest_merge(best, len(data["files"]), options.key_repeat_threshold))
+            data["suggested"] = propose.suggest_merge(best, len(data["files"]), options.key_repeat_threshold)
         else:
             data = {"parent": name.rpartition("__")[0]} | data
         report_tables[name] = data

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as committed
-from ..alerts import Notifier, report_failure, report_findings
+from ..alerts import Notifier, failure, findings
 from ..config import Dataset, Table
 from ..operators import checks, classify, merge, mirror, planning
 from ..operators import manifest as m
@@ -139,20 +139,24 @@ class Engine:
         try:
             self.sync()
         except Exception as e:
-            report_failure(self.notifier, f"sync of {self.dataset.name}", e)
+            self.notifier.notify(failure(f"sync of {self.dataset.name}", e))
             raise
         for t in self.dataset.tables:
-            report_findings(self.notifier, t.key, self.check(t, "raw", today), [])
+            self.report(t, self.check(t, "raw", today))
             for r in self.plan(t):
                 first, last = t.partitioning.window(r["start"], r["end"])
                 try:
                     result = self.load(t, first, last)
                 except Exception as e:
-                    report_failure(self.notifier, r["run_key"], e)
+                    self.notifier.notify(failure(r["run_key"], e))
                     raise
                 out[r["run_key"]] = result
-                report_findings(self.notifier, t.key, self.check(t, "sql", today, r["start"]), result.details.get("new_columns", []))
+                self.report(t, self.check(t, "sql", today, r["start"]), result.details.get("new_columns", []))
         return out
 
+    def report(self, table: Table, found: dict[str, checks.CheckResult], new_columns: list[str] | None = None) -> None:
+        for alert in findings(table.key, found, new_columns or []):
+            self.notifier.notify(alert)
+
     def extra(self) -> dict[str, DataFrame]:
         return {name: fn(self.spark, self) for name, fn in self.dataset.extra.items()}

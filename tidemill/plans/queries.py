@@ -318,9 +318,10 @@ def calendar_yearly(spark, sf_dir):
     return calendars.Yearly(2, 1).days(spark, CALENDAR_START, CALENDAR_END)
 
 
-@query(f"select d from {SERIES} where isodow(d) < 6")
+@query("select distinct o_orderdate::date as d from orders where o_orderstatus = 'F' and o_orderdate::date between date '1996-01-01' and date '1997-06-30' and o_orderdate::date <> date '1996-12-25'")
 def calendar_exchange(spark, sf_dir):
-    return calendars.Exchange().days(spark, CALENDAR_START, CALENDAR_END)
+    sessions = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("exchange"), F.to_date("o_orderdate").alias("d")).distinct()
+    return calendars.Exchange("F", (date(1996, 12, 25),), sessions).days(spark, date(1996, 1, 1), date(1997, 6, 30))
 
 
 DUE_SQL = f"""{MF}, due as (select d from {SERIES} where isodow(d) < 6 and d <= date '2024-01-22' order by d desc limit 10),

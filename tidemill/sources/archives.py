@@ -11,6 +11,7 @@ import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,23 +40,27 @@ def archive_kind_of(path: Column) -> Column:
     return F.when(name.endswith(F.lit(".zip")), "zip").when(tar, "tar")
 
 
-def open_members(data: bytes, path: str) -> Iterator[tuple[str, io.BufferedIOBase]]:
+def seekable(data: bytes | BinaryIO) -> BinaryIO:
+    return io.BytesIO(data) if isinstance(data, bytes) else data
+
+
+def open_members(data: bytes | BinaryIO, path: str) -> Iterator[tuple[str, io.BufferedIOBase]]:
     """(name, stream) of the files in an archive, in the order of their names."""
     kind = archive_kind(path)
     if kind == "zip":
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
+        with zipfile.ZipFile(seekable(data)) as z:
             for name in sorted(i.filename for i in z.infolist() if not i.is_dir()):
                 with z.open(name) as stream:
                     yield name, stream
     elif kind == "tar":
-        with tarfile.open(fileobj=io.BytesIO(data)) as t:
+        with tarfile.open(fileobj=seekable(data)) as t:
             for info in sorted((i for i in t.getmembers() if i.isfile()), key=lambda i: i.name):
                 yield info.name, t.extractfile(info)
     else:
         raise ValueError(f"{path} isn't an archive")
 
 
-def open_streams(data: bytes, path: str, member: str | None = None) -> Iterator[tuple[str | None, io.BufferedIOBase]]:
+def open_streams(data: bytes | BinaryIO, path: str, member: str | None = None) -> Iterator[tuple[str | None, io.BufferedIOBase]]:
     """One member, all members of an archive, or the file itself, decompressed as its name says."""
     if archive_kind(path):
         for name, stream in open_members(data, path):
@@ -63,7 +68,7 @@ def open_streams(data: bytes, path: str, member: str | None = None) -> Iterator[
                 yield name, stream
         return
     name = plain_name(path).lower()
-    raw = io.BytesIO(data)
+    raw = seekable(data)
     yield None, gzip.open(raw) if name.endswith(".gz") else bz2.open(raw) if name.endswith(".bz2") else lzma.open(raw) if name.endswith(".xz") else raw
 
 
@@ -80,13 +85,12 @@ def list_members(files: DataFrame, id_col: str = "id", path_col: str = "local_pa
 
                 store, at = open_path(path)
                 with store.open_input_file(at) as f:
-                    data = f.read()
-                for name, stream in open_members(data, path):
-                    digest, size = hashlib.sha256(), 0
-                    while block := stream.read(1 << 20):
-                        digest.update(block)
-                        size += len(block)
-                    out.append((file_id, name, size, digest.hexdigest()))
+                    for name, stream in open_members(io.BufferedReader(f, 1 << 20), path):
+                        digest, size = hashlib.sha256(), 0
+                        while block := stream.read(1 << 20):
+                            digest.update(block)
+                            size += len(block)
+                        out.append((file_id, name, size, digest.hexdigest()))
             yield pd.DataFrame(out, columns=["parent_id", "member", "member_size", "member_sha256"])
 
     del spark

@@ -1,40 +1,44 @@
 """Readers: files of a load to one DataFrame.
 
 ``read(files)`` takes a DataFrame (file_id, path, member) and gives the rows of all files with ``_source_file`` and
-``_position``. Plain Parquet and JSON files go through Spark's own readers; text dialects, archives and names that
-Spark doesn't decompress go through tasks that open a file each and yield Arrow batches.
+``_position``. Plain Parquet, JSON and CSV files go through Spark's own readers, which split them, whatever their size;
+other dialects, archives and names that Spark doesn't know go through tasks that stream a file each in Arrow batches.
 
 ``types``: committed types by name; "string" reads everything as text. Columns are matched by name, never by place.
+``most``: rows of each file; a file is one task's work then, and is read no further.
 """
 
 from __future__ import annotations
 
 import csv
+import inspect
 import io
 import json
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 from typing import BinaryIO, Protocol
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from ..functions.paths import spark_format
+from ..session import work_root
 from . import archives
 
 Types = T.StructType | str | None
 #: Texts that mean null by default (fixed values).
 NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null")
-#: Text files from this size on are read in splits.
-SPLIT_FROM = 256 << 20
 SOURCE, POSITION = T.StructField("_source_file", T.LongType()), T.StructField("_position", T.LongType())
 
 
 class Reader(Protocol):
-    def read(self, files: DataFrame, types: Types = None) -> DataFrame: ...
+    def read(self, files: DataFrame, types: Types = None, most: int | None = None) -> DataFrame: ...
 
 
 def streams(file_id: int, path: str, member: str | None) -> Iterator[BinaryIO]:
@@ -42,13 +46,12 @@ def streams(file_id: int, path: str, member: str | None) -> Iterator[BinaryIO]:
 
     store, at = open_path(path)
     with store.open_input_file(at) as f:
-        data = f.read()
-    for _, stream in archives.open_streams(data, path, member):
-        yield stream
+        for _, stream in archives.open_streams(io.BufferedReader(f, 1 << 20), path, member):
+            yield stream
 
 
-def in_tasks(files: DataFrame, batches_of: Callable[[BinaryIO], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    """Rows of all files; a file is one task's work, so a lost executor costs its files only."""
+def in_tasks(files: DataFrame, batches_of: Callable[[BinaryIO], Iterator[pa.RecordBatch]], schema: T.StructType, most: int | None = None) -> DataFrame:
+    """Rows of all files, or the first of each; a file is one task's work, so a lost executor costs its files only."""
     target = to_arrow_schema(T.StructType([*schema.fields, SOURCE, POSITION]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,7 +59,8 @@ def in_tasks(files: DataFrame, batches_of: Callable[[BinaryIO], Iterator[pa.Reco
             for file_id, path, member in zip(*[c.to_pylist() for c in batch.columns]):
                 at = 0
                 for stream in streams(file_id, path, member):
-                    for rows in batches_of(stream):
+                    for rows in batches_of(stream) if most is None or at < most else ():
+                        rows = rows.slice(0, rows.num_rows if most is None else most - at)
                         n = rows.num_rows
                         columns = []
                         for f in target:
@@ -70,6 +74,8 @@ def in_tasks(files: DataFrame, batches_of: Callable[[BinaryIO], Iterator[pa.Reco
                                 columns.append(pa.nulls(n, f.type))
                         at += n
                         yield pa.RecordBatch.from_arrays(columns, schema=target)
+                        if most is not None and at >= most:
+                            break
 
     n = max(1, min(files.count(), 10_000))
     return files.select("file_id", "path", "member").repartition(n).mapInArrow(run, T.StructType([*schema.fields, SOURCE, POSITION]))
@@ -119,65 +125,81 @@ class CsvReader:
     strings_can_be_null: bool = True
     date_formats: tuple[str, ...] = ()
 
-    def batches(self, stream: BinaryIO, kinds: dict[str, pa.DataType] | None) -> Iterator[pa.RecordBatch]:
+    def batches(self, stream: BinaryIO, names: list[str]) -> Iterator[pa.RecordBatch]:
+        """Every value as the text that it is."""
         from pyarrow import csv as arrow_csv
 
-        dates = {c: t for c, t in (kinds or {}).items() if pa.types.is_date(t) and self.date_formats}
-        convert = {"column_types": {c: pa.timestamp("s") if c in dates else t for c, t in (kinds or {}).items()}, "strings_can_be_null": self.strings_can_be_null}
-        if self.null_values is not None:
-            convert["null_values"] = list(self.null_values)
-        if self.date_formats:
-            convert["timestamp_parsers"] = [*self.date_formats, arrow_csv.ISO8601]
-        reader = arrow_csv.open_csv(
+        yield from arrow_csv.open_csv(
             stream,
             read_options=arrow_csv.ReadOptions(encoding=self.encoding, skip_rows=self.skip_rows, column_names=list(self.column_names) if self.column_names else None, block_size=self.block_size),
             parse_options=arrow_csv.ParseOptions(delimiter=self.delimiter, quote_char=self.quote_char or False, escape_char=self.escape_char or False, double_quote=self.double_quote, newlines_in_values=self.newlines_in_values),
-            convert_options=arrow_csv.ConvertOptions(**convert),
+            convert_options=arrow_csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False),
         )
-        for batch in reader:
-            for c, t in dates.items():
-                i = batch.schema.get_field_index(c)
-                if i >= 0:
-                    batch = batch.set_column(i, c, batch.column(i).cast(t))
-            yield batch
 
     def header(self, stream: BinaryIO) -> list[str]:
         if self.column_names:
             return list(self.column_names)
-        text = io.TextIOWrapper(stream, encoding=self.encoding, newline="")
+        encoding = "utf-8-sig" if self.encoding.lower().replace("-", "") == "utf8" else self.encoding
+        text = io.TextIOWrapper(stream, encoding=encoding, newline="")
         for _ in range(self.skip_rows):
             text.readline()
-        return next(csv.reader([text.readline()], delimiter=self.delimiter), [])
-
-    def read(self, files: DataFrame, types: Types = None) -> DataFrame:
-        large, rest = large_files(files) if self.splits() else ([], files)
-        out = [self.read_split(files, large, types)] if large else []
-        if not large or not rest.isEmpty():
-            out.append(self.read_whole(rest, types))
-        return union(out)
+        return next(csv.reader([text.readline()], delimiter=self.delimiter, quotechar=self.quote_char or "\0"), [])
+
+    def read(self, files: DataFrame, types: Types = None, most: int | None = None) -> DataFrame:
+        """Text first, whichever way the file takes; then types by name, in one way."""
+        plain, rest = split_plain(files, (".csv", ".txt", ".tsv", ".psv", ".dat")) if self.splits() and most is None else ([], files)
+        frames = self.split_text(files, plain)
+        if not frames or not rest.isEmpty():
+            names = self.names(rest)
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            frames.append(in_tasks(rest, lambda s: self.batches(s, names), schema, most))
+        return self.typed(union(frames), types)
 
     def splits(self) -> bool:
         """Whether Spark's own reader, which splits files, reads the dialect alike."""
         return self.encoding.lower().replace("-", "") == "utf8" and not self.skip_rows and not self.newlines_in_values and self.double_quote and not self.escape_char
 
-    def read_split(self, files: DataFrame, large: list, types: Types) -> DataFrame:
-        """Large plain files, by as many tasks as they have splits: all text first, then types by name."""
+    def headers(self, files: DataFrame) -> list:
+        """(file_id, names) of all files, read in tasks."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids, names = [], []
+                for f in zip(*[c.to_pylist() for c in batch.columns]):
+                    for stream in streams(*f):
+                        ids.append(f[0])
+                        names.append(self.header(stream))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.list_(pa.string()))], names=["file_id", "names"])
+
+        return files.select("file_id", "path", "member").mapInArrow(run, "file_id long, names array<string>").orderBy("file_id").collect()
+
+    def names(self, files: DataFrame) -> list[str]:
+        return list(self.column_names) if self.column_names else list(dict.fromkeys(n for r in self.headers(files) for n in r["names"]))
+
+    def split_text(self, files: DataFrame, plain: list) -> list[DataFrame]:
+        """Plain files by as many tasks as they have splits; a frame for each different header."""
         spark = files.sparkSession
+        path_of = {r["file_id"]: r for r in plain}
+        heads = [(i, self.column_names) for i in path_of] if self.column_names or not plain else [(r["file_id"], tuple(r["names"])) for r in self.headers(files.where(F.col("file_id").isin(list(path_of))))]
         groups: dict[tuple[str, ...], list] = {}
-        for r in large:
-            groups.setdefault(tuple(self.column_names or csv_header(spark, r["path"], self.delimiter)), []).append(r)
-        frames = []
+        for i, names in heads:
+            if names:  # an empty file has none, and no rows
+                groups.setdefault(names, []).append(path_of[i])
+        out = []
         for names, held in groups.items():
-            # no text equals this null value: what means null is decided below, by a list
+            # no text equals this null value: what means null is decided by ``typed``
             reader = spark.read.options(sep=self.delimiter, quote=self.quote_char or "", escape=self.quote_char or "\\", header=self.column_names is None, mode="FAILFAST", nullValue="\u0001", emptyValue="")
-            frames.append(by_spark(files, held, reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv([r["path"] for r in held])))
-        text = union(frames)
+            out.append(by_spark(files, held, reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv([r["path"] for r in held])))
+        return out
+
+    def typed(self, text: DataFrame, types: Types) -> DataFrame:
         names = [c for c in text.columns if c not in ("_source_file", "_position")]
         tokens = list(NULLS if self.null_values is None else self.null_values)
         value = {n: F.when(~F.col(f"`{n}`").isin(tokens), F.col(f"`{n}`")) if tokens else F.col(f"`{n}`") for n in names}
         known = {f.name: f.dataType for f in types} if isinstance(types, T.StructType) else {}
-        if types is None or (known and set(names) - set(known)):
-            known = self.kinds_of(text.select(F.lit("all").alias("_file"), *[value[n].alias(n) for n in names]), names) | known
+        unknown = [n for n in names if n not in known] if types != "string" else []
+        if unknown:
+            known = self.kinds_of(text.select(F.lit("all").alias("_file"), *[value[n].alias(n) for n in unknown]), unknown) | known
         out = []
         for n in names:
             kind = known.get(n, T.StringType())
@@ -191,7 +213,7 @@ class CsvReader:
         return text.select(*out, "_source_file", "_position")
 
     def kinds_of(self, text: DataFrame, names: list[str]) -> dict[str, T.DataType]:
-        """As whole files infer them: numbers keep no leading zeros, fractions are doubles."""
+        """From all values of all files: numbers keep no leading zeros, fractions are doubles."""
         from ..operators.profile import typing
 
         kinds = {"bigint": T.LongType(), "decimal": T.DoubleType(), "double": T.DoubleType(), "bool": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampNTZType()}
@@ -201,28 +223,6 @@ class CsvReader:
             found[r["column"]] = T.LongType() if r["reason"] == "leading zeros" else T.TimestampType() if zoned else kinds.get(r["kind"], T.StringType())
         return found
 
-    def read_whole(self, files: DataFrame, types: Types) -> DataFrame:
-        if types is None:
-            # types are inferred from whole files, as a column may change late
-            schema = schemas(files, self.inferred)
-        else:
-            names = schemas(files, lambda s: pa.schema([(c, pa.string()) for c in self.header(s)])).names
-            known = {} if types == "string" else {f.name: f.dataType for f in types}
-            missing = [n for n in names if n not in known]
-            inferred = {f.name: f.dataType for f in schemas(files, self.inferred)} if types != "string" and missing else {}
-            schema = T.StructType([T.StructField(n, known.get(n, inferred.get(n, T.StringType()))) for n in names])
-        arrow = {f.name: f.type for f in to_arrow_schema(schema)}
-        arrow = {n: pa.timestamp("us") if pa.types.is_timestamp(t) and t.tz is None else t for n, t in arrow.items()}
-        return in_tasks(files, lambda s: self.batches(s, arrow), schema)
-
-    def inferred(self, stream: BinaryIO) -> pa.Schema:
-        kinds: dict[str, pa.DataType] = {}
-        for batch in self.batches(stream, None):
-            for f in batch.schema:
-                kind = pa.string() if pa.types.is_null(f.type) or pa.types.is_time(f.type) else pa.timestamp("us", f.type.tz) if pa.types.is_timestamp(f.type) else f.type
-                kinds[f.name] = kind if kinds.get(f.name, kind) == kind else pa.string()
-        return pa.schema(list(kinds.items()))
-
 
 def split_plain(files: DataFrame, endings: tuple[str, ...]) -> tuple[list, DataFrame]:
     """(rows of files that Spark reads by itself, the rest): no members, no versions, a known ending, and no name that Hadoop hides."""
@@ -234,24 +234,6 @@ def split_plain(files: DataFrame, endings: tuple[str, ...]) -> tuple[list, DataF
     return files.where(plain & ends).select("file_id", "path").collect(), files.where(~(plain & ends))
 
 
-def large_files(files: DataFrame) -> tuple[list, DataFrame]:
-    """(plain text files from SPLIT_FROM bytes on, the rest)."""
-    plain, _ = split_plain(files, (".csv", ".txt", ".tsv", ".psv", ".dat"))
-    jvm, conf = files.sparkSession._jvm, files.sparkSession._jsc.hadoopConfiguration()
-
-    def size(path: str) -> int:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf).getFileStatus(p).getLen()
-
-    large = [r for r in plain if size(r["path"]) >= SPLIT_FROM]
-    return large, files.where(~F.col("file_id").isin([r["file_id"] for r in large])) if large else files
-
-
-def csv_header(spark, path: str, delimiter: str) -> list[str]:
-    line = spark.read.text(path).limit(1).first()
-    return next(csv.reader([line[0] if line else ""], delimiter=delimiter), [])
-
-
 def by_spark(files: DataFrame, held: list, frame: DataFrame) -> DataFrame:
     """Rows of Spark's reader with the manifest id of their file; places are those in the file's blocks."""
     spark = files.sparkSession
@@ -278,17 +260,17 @@ class ParquetReader:
 
     batch_size: int = 1 << 16
 
-    def read(self, files: DataFrame, types: Types = None) -> DataFrame:
+    def read(self, files: DataFrame, types: Types = None, most: int | None = None) -> DataFrame:
         from pyarrow import parquet
 
-        plain, rest = split_plain(files, (".parquet", ".pq"))
+        plain, rest = split_plain(files, (".parquet", ".pq")) if most is None else ([], files)
         out = []
         if plain:
             frame = files.sparkSession.read.option("mergeSchema", True).parquet(*[r["path"] for r in plain])
             out.append(by_spark(files, plain, frame))
         if not rest.isEmpty():
             read = lambda s: parquet.ParquetFile(pa.BufferReader(s.read()))
-            out.append(in_tasks(rest, lambda s: read(s).iter_batches(batch_size=self.batch_size), schemas(rest, lambda s: read(s).schema_arrow)))
+            out.append(in_tasks(rest, lambda s: read(s).iter_batches(batch_size=self.batch_size), schemas(rest, lambda s: read(s).schema_arrow), most))
         return union(out)
 
 
@@ -296,8 +278,10 @@ class ParquetReader:
 class JsonReader:
     """JSON lines, or one array; types are inferred over all files."""
 
-    def read(self, files: DataFrame, types: Types = None) -> DataFrame:
+    def read(self, files: DataFrame, types: Types = None, most: int | None = None) -> DataFrame:
         spark = files.sparkSession
+        if most is not None:
+            return self.read_whole(files, most)
         plain, rest = split_plain(files, (".json", ".jsonl", ".ndjson"))
         starts = {r["path"]: r["value"].lstrip()[:1] for r in (spark.read.text([x["path"]]).where(F.trim("value") != "").limit(1).select("value", F.lit(x["path"]).alias("path")).first() for x in plain) if r} if plain else {}
         lines = [r for r in plain if starts.get(r["path"]) == "{"]
@@ -309,15 +293,21 @@ class JsonReader:
             out.append(self.read_whole(whole))
         return union(out)
 
-    def read_whole(self, files: DataFrame) -> DataFrame:
+    def read_whole(self, files: DataFrame, most: int | None = None) -> DataFrame:
         # a line, or an array's element, becomes a row of text: what a file has and how long it is may vary
+        def values(stream: BinaryIO) -> Iterator[str]:
+            for n, line in enumerate(x for x in stream if x.strip()):
+                if n == 0 and line.lstrip()[:1] == b"[":
+                    yield from map(json.dumps, json.loads(line + stream.read()))
+                    return
+                yield line.decode()
+
         def lines(stream: BinaryIO) -> Iterator[pa.RecordBatch]:
-            data = stream.read()
-            rows = [json.dumps(x) for x in json.loads(data)] if data.lstrip()[:1] == b"[" else [x.decode() for x in data.splitlines() if x.strip()]
-            for a in range(0, len(rows), 1 << 14):
-                yield pa.RecordBatch.from_pydict({"json": rows[a : a + (1 << 14)]})
+            rows = values(stream)
+            while held := list(islice(rows, 1 << 14)):
+                yield pa.RecordBatch.from_pydict({"json": held})
 
-        text = in_tasks(files, lines, T.StructType([T.StructField("json", T.StringType())]))
+        text = in_tasks(files, lines, T.StructType([T.StructField("json", T.StringType())]), most)
         spark = files.sparkSession
         # the schema of all rows, found in the JVM; files are read a second time for it
         strings = getattr(text.select("json")._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
@@ -325,17 +315,43 @@ class JsonReader:
         return text.select(F.from_json("json", schema, {"mode": "FAILFAST"}).alias("r"), "_source_file", "_position").select("r.*", "_source_file", "_position")
 
 
+def unpacked(files: DataFrame, ending: str) -> list:
+    """(file_id, path) of files under names that Spark's own readers take: members and later versions are copied to the work folder."""
+    plain, rest = split_plain(files, (ending,))
+    if rest.isEmpty():
+        return plain
+    folder = f"{work_root(files.sparkSession)}/tidemill/unpacked-{uuid.uuid4().hex}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ..operators.mirror import open_path
+
+        for batch in batches:
+            out = []
+            for f in zip(*[c.to_pylist() for c in batch.columns]):
+                for i, stream in enumerate(streams(*f)):
+                    path = f"{folder}/{f[0]}-{i}{ending}"
+                    store, at = open_path(path)
+                    store.create_dir(at.rpartition("/")[0])
+                    with store.open_output_stream(f"{at}.part", compression=None) as copy:
+                        while block := stream.read(1 << 20):
+                            copy.write(block)
+                    store.move(f"{at}.part", at)  # whole, or not there
+                    out.append((f[0], path))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.string())], names=["file_id", "path"])
+
+    copies = rest.select("file_id", "path", "member").repartition(max(1, min(rest.count(), 1000))).mapInArrow(run, "file_id long, path string")
+    return [*plain, *copies.collect()]
+
+
 @dataclass(frozen=True)
 class AvroReader:
     """Needs Spark's Avro module on the class path."""
 
     batch_size: int = 1 << 16
 
-    def read(self, files: DataFrame, types: Types = None) -> DataFrame:
-        plain, rest = split_plain(files, (".avro",))
-        if not rest.isEmpty():
-            raise ValueError("Avro files are read by Spark's own reader: no archives or later versions")
-        return by_spark(files, plain, files.sparkSession.read.format("avro").load([r["path"] for r in plain]))
+    def read(self, files: DataFrame, types: Types = None, most: int | None = None) -> DataFrame:
+        held = unpacked(files, ".avro")
+        return first_of(by_spark(files, held, files.sparkSession.read.format("avro").load([r["path"] for r in held])), most)
 
 
 @dataclass(frozen=True)
@@ -344,12 +360,10 @@ class XmlReader:
 
     row_tag: str
 
-    def read(self, files: DataFrame, types: Types = None) -> DataFrame:
-        plain, rest = split_plain(files, (".xml",))
-        if not rest.isEmpty():
-            raise ValueError("XML files are read by Spark's own reader: no archives or later versions")
+    def read(self, files: DataFrame, types: Types = None, most: int | None = None) -> DataFrame:
+        held = unpacked(files, ".xml")
         reader = files.sparkSession.read.option("rowTag", self.row_tag)
-        return by_spark(files, plain, (reader.schema(types) if isinstance(types, T.StructType) else reader).xml([r["path"] for r in plain] if len(plain) > 1 else plain[0]["path"]))
+        return first_of(by_spark(files, held, (reader.schema(types) if isinstance(types, T.StructType) else reader).xml([r["path"] for r in held] if len(held) > 1 else held[0]["path"])), most)
 
 
 @dataclass(frozen=True)
@@ -362,7 +376,7 @@ class FunctionReader:
         for x in self.fn(stream):
             yield from (x if isinstance(x, pa.Table) else pa.Table.from_pylist(list(x))).to_batches()
 
-    def read(self, files: DataFrame, types: Types = None) -> DataFrame:
+    def read(self, files: DataFrame, types: Types = None, most: int | None = None) -> DataFrame:
         def schema_of(stream: BinaryIO) -> pa.Schema:
             kinds: dict[str, pa.DataType] = {}
             for batch in self.batches(stream):
@@ -370,13 +384,18 @@ class FunctionReader:
                     kinds.setdefault(f.name, pa.string() if pa.types.is_null(f.type) else f.type)
             return pa.schema(list(kinds.items()))
 
-        return in_tasks(files, self.batches, schemas(files, schema_of))
+        return in_tasks(files, self.batches, schemas(files, schema_of), most)
 
 
-def first_rows(rows: DataFrame, most: int | None) -> DataFrame:
-    """The first rows of each file."""
-    from pyspark.sql import Window as W
-
+def first_of(rows: DataFrame, most: int | None) -> DataFrame:
+    """The first rows of each file, where the format can't stop earlier."""
     if most is None:
         return rows
     return rows.withColumn("_n", F.row_number().over(W.partitionBy("_source_file").orderBy("_position"))).where(F.col("_n") <= most).drop("_n")
+
+
+def first_rows(reader: Reader, files: DataFrame, types: Types, most: int | None) -> DataFrame:
+    """The first rows of each file by any reader; one that doesn't know ``most`` reads all."""
+    if most is None or "most" in inspect.signature(reader.read).parameters:
+        return reader.read(files, types, **({} if most is None else {"most": most}))
+    return first_of(reader.read(files, types), most)
