@@ -26,7 +26,7 @@ def slow_topk(rows, every, k):
         if q % every == 0:
             scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in use if i != q and len(a) == len(b))[:k]
             if scored:
-                out[q] = [(i, -s) for s, i in scored]
+                out[q] = [(i, max(min(-s, 2**63 - 1), -(2**63))) for s, i in scored]
     return out
 
 
@@ -66,8 +66,31 @@ def test_threshold_stops_early(monkeypatch):
 
 
 def test_large_components(spark):
-    rows = [(0, [1e5, -1e5], 0), (1, [1e5, 1e5], 0), (2, [3e5, -2.5e5], 0), (3, [1e30, 0.0], 0)]
-    assert rows_of(topk.search(spark.createDataFrame(rows, SCHEMA))) == slow_topk(rows[:3], 50, 5)
+    """No row is dropped: sums beyond 2^53 are exact, and what a long can't hold is the nearest long."""
+    rows = [(0, [1e5, -1e5], 0), (1, [1e5, 1e5], 0), (2, [2e6, -2.5e6], 0), (3, [1e30, 0.0], 0), (4, [-1e30, 1.0], 0), (5, [0.25, -7.0], 0), (50, [3e6, 3e6], 0), (51, [3000001.0, 3e6], 0), (100, [0.5, 0.5], 0)]
+    got = rows_of(topk.search(spark.createDataFrame(rows, SCHEMA)))
+    assert got == slow_topk(rows, 50, 5) and len(got) == 3
+
+
+def test_large_components_in_blocks(monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    rows = np.floor(rng.normal(size=(300, 6)) * 10.0 ** rng.integers(0, 9, (300, 1)))
+    ids = rng.permutation(300)
+    at, found, scores = topk.threshold_search(7)(ids[:40], rows[:40], ids, rows)
+    for i in range(40):
+        q = [int(x) for x in rows[i]]
+        want = sorted((-sum(a * int(b) for a, b in zip(q, r)), int(j)) for j, r in zip(ids, rows) if j != ids[i])[:7]
+        assert [(-s, j) for s, j in zip(scores[at == i].tolist(), found[at == i].tolist())] == want
+
+
+def test_repeated_and_null_ids(spark):
+    """Rows that share an id are each a candidate and each a query; null ids take no part."""
+    rows = [(0, [1.0, 0.0], 0), (0, [0.0, 1.0], 0), (1, [1.0, 1.0], 0), (1, [2.0, 1.0], 0), (None, [9.0, 9.0], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = topk.search(df, k=2).collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(0, 1, 1, 131072), (0, 2, 1, 65536)]
+    assert {r["vec_id"] for r in neighbours.search(df, k=2).collect()} == {1}
 
 
 def slow_nearest(rows, every, k):

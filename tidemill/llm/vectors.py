@@ -57,5 +57,6 @@ def cells(vectors: DataFrame, every: int, search: Callable[[np.ndarray, np.ndarr
 def merge(ids: np.ndarray, scores: np.ndarray, new_ids: np.ndarray, new_scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k smallest of both by score and id."""
     ids, scores = np.concatenate([ids, new_ids]), np.concatenate([scores, new_scores])
-    best = np.lexsort((ids, scores))[:k]
+    # whole numbers of any length have no lexsort
+    best = sorted(range(len(ids)), key=lambda i: (scores[i], ids[i]))[:k] if scores.dtype == object else np.lexsort((ids, scores))[:k]
     return ids[best], scores[best]
