@@ -6,7 +6,6 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,12 +52,6 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], Iterator[dict[str
     return small_batches(df).mapInArrow(run, schema)
 
 
-@F.pandas_udf(T.LongType())
-def n_words(text: pd.Series) -> pd.Series:
-    """Words (runs of anything but ASCII white space) of each text; 0 for null."""
-    return pd.Series([0 if t is None else len(t.encode("utf-8", "surrogatepass").split()) for t in text], dtype="int64")
-
-
 class Covered:
     """Whether a stretch of text overlaps any of some spans (start, end); logarithmic in their number."""
 

@@ -10,10 +10,11 @@ shared again by weight, which ends at a water level: target = min(most_repeats *
 
 Running sums never gather a source in one task: the order within a source is the MD5 of the id, its leading hex
 digits are buckets of a bounded number of rows, sums of buckets give offsets, and windows run within buckets only.
-The table of sources (one row each) is the only thing ordered as a whole.
+The table of sources (one row each) is the only thing ordered as a whole. Words are counted in the JVM.
 
 Defined cases: a null text has size 0; a null source is a source of its own, the last; an empty table gives an
-empty result; a null id sorts like an empty one; repeated rows each count; sources without words get target 0.
+empty result; rows without an id are ordered by the MD5 of their text; rows with one id by size and then text; repeated
+rows each count; sources without words get target 0; rows of which nothing is taken have no position and come first.
 A document that the mix takes only in part is the last one of its source's final round.
 """
 
@@ -83,18 +84,21 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     ``rounds`` full copies are taken and, if ``taken`` > rounds * size, the first taken - rounds * size words once more.
     ``position`` is the training time of the first copy; null if nothing is taken.
     """
-    order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    common.small_batches(docs)
-    digits = max(0, math.ceil(math.log(max(1, docs.count() / bucket_rows), 16)))
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), common.n_words(F.col(text_col)).alias("size"), order.alias("order"), *extra)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text|"), F.md5(text))))
+    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(common.WORD)), F.lit(0)).cast("long")
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), order.alias("order"), F.xxhash64(text).alias("tie"), *extra)
+    if not extra:
+        # without texts the rows are few bytes: words are counted once
+        sized = materialize(sized, "mix-sizes")
+    digits = max(0, math.ceil(math.log(max(1, sized.count() / bucket_rows), 16)))
     sized = sized.withColumn("bucket", F.substring("order", 1, digits) if digits else F.lit(""))
-    # words are counted twice, here and where rows are placed; that is cheaper than to keep the texts in between
     buckets = materialize(sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
     running = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     held = targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, most_repeats)
     offsets = buckets.withColumn("before", F.coalesce(F.sum("bucket_size").over(running), F.lit(0)))
     offsets = materialize(offsets.join(held, offsets["source"].eqNullSafe(held["source"])).select(offsets["source"], "bucket", "before", "source_size", "place", "target"), "mix-offsets")
-    within = W.partitionBy(sized["source"], sized["bucket"]).orderBy("order", "size").rowsBetween(W.unboundedPreceding, -1)
+    within = W.partitionBy(sized["source"], sized["bucket"]).orderBy("order", "size", "tie").rowsBetween(W.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = placed.join(offsets, placed["source"].eqNullSafe(offsets["source"]) & (placed["bucket"] == offsets["bucket"])).drop(offsets["source"], offsets["bucket"])
     start = F.col("before") + F.col("inside")
@@ -139,13 +143,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
+    """Every document with what the mix takes of it, in ranges of training position."""
     mixed = plan(common.table(spark, sf_dir, "documents"))
-    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "position")
+    found = mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "position")
+    return found.repartitionByRange(F.col("position"), F.col("doc_id")).sortWithinPartitions("position", "doc_id")
 
 
 OP4_SQL = """
 with sized as (
-  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size, md5(coalesce(doc_id::varchar, '')) as ord
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size, md5(coalesce(doc_id::varchar, 'text|' || md5(coalesce(text, '')))) as ord
   from documents
 ), sources as (
   select source, sum(size)::bigint as source_size from sized group by source
