@@ -9,20 +9,23 @@ that address. Over all lines of the corpus
 
 and the disclosure of e by t is PMI / IC, at most 1. Terms from ``generalise_at`` are generalised (to NAME or
 WORD), those from ``remove_at`` are removed. A pair counts only if it is seen in ``min_contexts`` different
-contexts: copies of one document are no evidence.
+contexts (the terms around the entity): copies of one line count in all numbers alike, but make no pair evident.
 
-n_te: line occurrences in which t stands within ``window`` words of e; n_t: line occurrences of t; n_e: line
-occurrences of e; N: all lines. Everything is counted over all rows. Pairs are counted by Spark with partial
-aggregation. Marginals are counted for candidate terms only: tasks get them as a Bloom filter of fixed size
-(``BLOOM_BITS``), so false positives cost some rows and an exact join drops them.
+Terms are runs of three letters and more outside all entities. Unit of all numbers is a line of a row: n_te lines in
+which t is one of the ``window`` terms before or after e, however far away they are; n_t lines with t; n_e lines with
+e; N all lines. Everything is counted over all rows. Pairs are counted by Spark with partial aggregation. Lines with a
+term are counted for candidate terms only: tasks get these as a Bloom filter of fixed size (``BLOOM_BITS``), so false
+positives cost some rows and an exact join drops them. Disclosing pairs are joined to where they occur, whatever
+their number; only rows with terms near an entity take part in that join.
 
 Defined cases: a null text is an empty one; an empty table gives an empty result; repeated rows give repeated
-results (and no evidence); other columns are ignored; a null id is kept.
+results; other columns are ignored; a null id is kept.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -50,8 +53,6 @@ TERM = re.compile(r"[^\W\d_]{3,}")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 #: 1 MB.
 BLOOM_BITS = 1 << 23
-#: About 20 MB.
-BROADCAST_PAIRS = 200_000
 
 
 def luhn(digits: str) -> bool:
@@ -96,52 +97,87 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return found
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int, str]], window: int) -> Iterator[tuple[str, int, list[tuple[int, int]]]]:
-    """For each base span: its entity, a hash of the words around it, and the places of terms within ``window`` words, in its line."""
-    covered = common.Covered([(s, e) for s, _, e, _ in spans])
-    for start, kind, end, value in spans:
-        a, b = text.rfind("\n", 0, start) + 1, text.find("\n", end)
-        b = len(text) if b < 0 else b
-        # of a very long line, 64 characters a word at most; a word cut there is left out
-        low, high = max(a, start - 64 * window), min(b, end + 64 * window)
-        before = [m.span() for m in TERM.finditer(text, low, start) if m.start() > low or low == a][-window:]
-        after = [m.span() for m in TERM.finditer(text, end, high) if m.end() < high or high == b][:window]
-        places = [(s, e) for s, e in before + after if not covered(s, e)]
-        words = " ".join(text[s:e].lower() for s, e in places)
-        yield f"{KINDS[kind]}:{value}", xxhash.xxh64_intdigest(words.encode("utf-8", "surrogatepass")) - (1 << 63), places
+def near_terms(text: str, spans: list[tuple[int, int, int, str]], window: int) -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
+    """For each base span: its entity, the start of its line, a hash of the terms around it, and their places. A line is scanned once."""
+    low, high, held = 0, -1, []
+
+    def line() -> Iterator[tuple[str, int, int, list[tuple[int, int]]]]:
+        places, at = [], low
+        for start, _, end, _ in [*held, (high, 0, high, "")]:
+            if start > at:
+                places += [m.span() for m in TERM.finditer(text, at, start)]
+            at = max(at, end)
+        starts, ends = [s for s, _ in places], [e for _, e in places]
+        for start, kind, end, value in held:
+            n, m = bisect_right(ends, start), bisect_left(starts, end)
+            near = places[max(0, n - window) : n] + places[m : m + window]
+            words = " ".join(text[s:e].lower() for s, e in near)
+            yield f"{KINDS[kind]}:{value}", low, xxhash.xxh64_intdigest(words.encode("utf-8", "surrogatepass")) - (1 << 63), near
+
+    for span in spans:  # by start
+        if span[0] > high:
+            if held:
+                yield from line()
+            low = text.rfind("\n", max(high, 0), span[0]) + 1 or max(high, 0)
+            high = text.find("\n", span[2])
+            high = len(text) if high < 0 else high
+            held = []
+        held.append(span)
+    if held:
+        yield from line()
+
+
+HIT = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+EVIDENCE = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()), T.StructField("context", T.LongType()), T.StructField("n", T.LongType())])
 
 
-HIT = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()), T.StructField("context", T.LongType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+def evidence_of(near: list[tuple[str, int, int, list[tuple[int, int]]]], terms: list[list[str]]) -> Iterator[tuple[str, str | None, int | None, int]]:
+    """(entity, term, context, n) of a text. Over the contexts of a pair, n adds up to the lines that have it; without a term, to those of the entity."""
+    lines = {(entity, at) for entity, at, _, _ in near}
+    for entity, _ in lines:
+        yield entity, None, None, 1
+    counted, seen = set(), Counter()
+    for (entity, at, context, _), words in zip(near, terms):
+        for term in set(words):
+            first = (entity, term, at) not in counted
+            counted.add((entity, term, at))
+            seen[entity, term, context] += first
+    for (entity, term, context), n in seen.items():
+        yield entity, term, context, n
 
 
 def find_base(docs: DataFrame, id_col: str, text_col: str, window: int, keep_text: bool) -> DataFrame:
-    """(uid, id, n_lines, spans, hits[, rest of the row]): base spans, and the terms near them."""
+    """(uid, id, n_lines, spans, hits, evidence[, rest of the row]): base spans, and the terms near them."""
     kept = docs.schema.fields if keep_text else []
     named = {f"c{i}": f for i, f in enumerate(kept)}
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_lines", T.LongType()), T.StructField("spans", common.SPAN), T.StructField("hits", T.ArrayType(HIT))])
-    if keep_text:
-        source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(f.name).alias(c) for c, f in named.items()])
-        schema = T.StructType([*schema.fields, *[T.StructField(c, f.dataType) for c, f in named.items()]])
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(f"`{f.name}`").alias(c) for c, f in named.items() if f.name not in (id_col, text_col)])
+    own = {c: {id_col: "id", text_col: "text"}.get(f.name, c) for c, f in named.items()}
+    fields = [T.StructField("uid", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_lines", T.LongType()), T.StructField("spans", common.SPAN), T.StructField("hits", T.ArrayType(HIT)), T.StructField("evidence", T.ArrayType(EVIDENCE))]
+    schema = T.StructType([*fields, *[T.StructField(c, f.dataType) for c, f in named.items()]])
+    target = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out = of(batch.to_pydict())
-            yield pa.RecordBatch.from_pydict(out | {"uid": list(range(uid, uid + batch.num_rows))}, schema=target)
+            found = of(batch.column("text").to_pylist())
+            # columns that are only carried stay as they are
+            columns = [pa.array(range(uid, uid + batch.num_rows), pa.int64()), batch.column("id"), *[pa.array(x, target.field(n).type) for n, x in zip(("n_lines", "spans", "hits", "evidence"), found)]]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*columns, *[batch.column(own[c]) for c in named]], target)], schema=target)
             uid += batch.num_rows
 
-    def of(cols: dict[str, list]) -> dict[str, list]:
-        n_lines, all_spans, all_hits = [], [], []
-        for text in cols["text"]:
+    def of(texts: list[str | None]) -> tuple[list, list, list, list]:
+        n_lines, all_spans, all_hits, all_evidence = [], [], [], []
+        for text in texts:
             text = text or ""
             spans = base_spans(text)
             n_lines.append(text.count("\n") + 1)
             all_spans.append([{"kind": KINDS[k], "start": s, "end": e, "base": True, "weight": None} for s, k, e, _ in spans])
-            all_hits.append([{"entity": entity, "term": text[s:e].lower(), "context": context, "start": s, "end": e} for entity, context, places in near_terms(text, spans, window) for s, e in places] if spans else [])
-        return {"id": cols["id"], "n_lines": n_lines, "spans": all_spans, "hits": all_hits} | {c: cols[c] for c in named}
+            near = list(near_terms(text, spans, window)) if spans else []
+            terms = [[text[s:e].lower() for s, e in places] for *_, places in near]
+            all_hits.append([{"entity": entity, "term": term, "start": s, "end": e} for (entity, _, _, places), own in zip(near, terms) for (s, e), term in zip(places, own)])
+            all_evidence.append([{"entity": e, "term": t, "context": c, "n": n} for e, t, c, n in evidence_of(near, terms)])
+        return n_lines, all_spans, all_hits, all_evidence
 
-    target = to_arrow_schema(schema)
     return common.small_batches(source).mapInArrow(run, schema)
 
 
@@ -199,46 +235,16 @@ def term_lines(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     return counted.join(terms, "term", "left_semi")
 
 
-EVIDENCE = T.StructType([T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()), T.StructField("context", T.LongType()), T.StructField("n", T.LongType())])
-
-
-def evidence_of_hits(found: DataFrame) -> DataFrame:
-    """(entity, term, context, n) from ``find_base``: rows that have the pair in the context; with a null term, the entity; with neither, lines."""
-    hits = found.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
-    pairs = hits.groupBy("entity", "term", "context").agg(F.count_distinct("uid").alias("n"))
-    entities = hits.groupBy("entity", "context").agg(F.count_distinct("uid").alias("n")).withColumn("term", F.lit(None).cast("string"))
-    lines = found.agg(F.sum("n_lines").alias("n")).select(F.lit(None).cast("string").alias("entity"), F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("context"), "n")
-    return pairs.unionByName(entities).unionByName(lines)
-
-
-def evidence(docs: DataFrame, text_col: str, window: int) -> DataFrame:
-    """The same from the texts, counted in the tasks first; nothing is kept of the rows."""
-    target = to_arrow_schema(EVIDENCE)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n: Counter[tuple] = Counter()
-            for text in batch.column(0).to_pylist():
-                text = text or ""
-                n[None, None, None] += text.count("\n") + 1
-                if spans := base_spans(text):
-                    near = [(e, c, p) for e, c, p in near_terms(text, spans, window) if p]
-                    n.update({(e, text[a:b].lower(), c) for e, c, p in near for a, b in p} | {(e, None, c) for e, c, _ in near})
-            rows = [[*k, v] for k, v in n.items()] or [[None, None, None, 0]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
-
-    return common.small_batches(docs).select(text_col).mapInArrow(run, EVIDENCE).groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
-
-
-def disclosures(docs: DataFrame, seen: DataFrame, text_col: str, generalise_at: float, min_contexts: int) -> DataFrame | None:
-    """(entity, term, disclosure) from ``generalise_at``; None if no pair has enough contexts. ``seen``: evidence."""
+def disclosures(docs: DataFrame, found: DataFrame, text_col: str, generalise_at: float, min_contexts: int) -> DataFrame | None:
+    """(entity, term, disclosure) from ``generalise_at``; None if no pair has enough contexts. ``found``: ``find_base`` of docs."""
+    seen = found.where(F.size("evidence") > 0).select(F.explode("evidence").alias("e")).select("e.*").groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
     seen = materialize(seen, "pii-evidence")
     pairs = seen.where(F.col("term").isNotNull()).groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count("*").alias("contexts"))
     pairs = materialize(pairs.where(F.col("contexts") >= min_contexts), "pii-pairs")
     if pairs.isEmpty():
         return None
-    n_lines = seen.where(F.col("entity").isNull()).agg(F.sum("n")).first()[0]
-    entities = seen.where(F.col("entity").isNotNull() & F.col("term").isNull()).groupBy("entity").agg(F.sum("n").alias("n_e"))
+    n_lines = found.agg(F.sum("n_lines")).first()[0]
+    entities = seen.where(F.col("term").isNull()).select("entity", F.col("n").alias("n_e"))
     terms = term_lines(docs, text_col, pairs.select("term").distinct())
     scored = pairs.join(entities, "entity").join(terms, "term")
     information = -F.log2(F.col("n_e") / F.lit(float(n_lines)))
@@ -246,22 +252,28 @@ def disclosures(docs: DataFrame, seen: DataFrame, text_col: str, generalise_at:
     return materialize(scored.where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure"), "pii-disclosures")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, min_contexts: int = 3, generalise_at: float = 0.8, keep_text: bool = False) -> DataFrame:
-    """(id, spans) for every row, or with the row's columns as c0, c1, ... in their order if ``keep_text``.
-
-    A span: kind (email, ip, card, phone, term), start, end (code points), base, weight (disclosure of a term).
-    """
-    found = materialize(find_base(docs, id_col, text_col, window, keep_text), "pii-base")  # also pins the uids
-    held = disclosures(docs, evidence_of_hits(found), text_col, generalise_at, min_contexts)
-    if held is None:
-        return found.drop("uid", "hits", "n_lines")
-    hits = found.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.entity", "h.term", "h.start", "h.end")
+def terms_of(found: DataFrame, held: DataFrame) -> DataFrame:
+    """(uid, more): the spans of disclosing terms, for rows that have any."""
+    hits = found.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
     terms = hits.join(held, ["entity", "term"]).groupBy("uid", "start", "end").agg(F.max("disclosure").alias("weight"))
-    terms = terms.groupBy("uid").agg(F.collect_list(F.struct(F.lit("term").alias("kind"), "start", "end", F.lit(False).alias("base"), "weight")).alias("more"))
-    joined = found.join(terms, "uid", "left")
-    place = "2 * sign(a.start - b.start) + sign(array_position({0}, a.kind) - array_position({0}, b.kind))".format("array({})".format(", ".join(f"'{k}'" for k in KINDS)))
-    merged = F.when(F.col("more").isNull(), F.col("spans")).otherwise(F.expr(f"array_sort(concat(spans, more), (a, b) -> cast({place} as int))"))
-    return joined.withColumn("spans", merged).drop("uid", "hits", "n_lines", "more")
+    return terms.groupBy("uid").agg(F.collect_list(F.struct(F.lit("term").alias("kind"), "start", "end", F.lit(False).alias("base"), "weight")).alias("more"))
+
+
+def with_terms(found: DataFrame, held: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Rows that have terms near an entity, with disclosing terms among their spans; and the other rows."""
+    near, rest = found.where(F.size("hits") > 0), found.where(F.size("hits") == 0)
+    if held is not None:
+        place = "2 * sign(a.start - b.start) + sign(array_position({0}, a.kind) - array_position({0}, b.kind))".format("array({})".format(", ".join(f"'{k}'" for k in KINDS)))
+        merged = F.when(F.col("more").isNull(), F.col("spans")).otherwise(F.expr(f"array_sort(concat(spans, more), (a, b) -> cast({place} as int))"))
+        near = near.join(terms_of(found, held), "uid", "left").withColumn("spans", merged).drop("more")
+    return tuple(f.drop("uid", "hits", "n_lines", "evidence") for f in (near, rest))
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, min_contexts: int = 3, generalise_at: float = 0.8) -> DataFrame:
+    """(id, spans) for every row. A span: kind (email, ip, card, phone, term), start, end (code points), base, weight (disclosure of a term)."""
+    found = materialize(find_base(docs, id_col, text_col, window, False), "pii-base")  # also pins the uids
+    near, rest = with_terms(found, disclosures(docs, found, text_col, generalise_at, min_contexts))
+    return near.unionByName(rest)
 
 
 def masked(text: str | None, spans: list[dict], remove_at: float) -> str | None:
@@ -278,41 +290,20 @@ def masked(text: str | None, spans: list[dict], remove_at: float) -> str | None:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, min_contexts: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
-    """The rows of ``docs`` with personal data masked in the text; other columns as they were.
-
-    Up to BROADCAST_PAIRS disclosing pairs are sent to the tasks, which mask the texts as they read them; more are joined.
-    """
-    held = disclosures(docs, evidence(docs, text_col, window), text_col, generalise_at, min_contexts)
-    n = 0 if held is None else held.count()
-    if n > BROADCAST_PAIRS:
-        return sanitise_joined(docs, id_col, text_col, remove_at, window=window, min_contexts=min_contexts, generalise_at=generalise_at)
-    pairs = docs.sparkSession.sparkContext.broadcast({(r["entity"], r["term"]): r["disclosure"] for r in held.collect()} if n else {})
-    def spans_of(text: str) -> list[dict]:
-        base = base_spans(text)
-        out = [{"kind": KINDS[k], "start": s, "end": e, "base": True, "weight": None} for s, k, e, _ in base]
-        if base and pairs.value:
-            terms: dict[tuple[int, int], float] = {}
-            for entity, _, places in near_terms(text, base, window):
-                for s, e in places:
-                    if (d := pairs.value.get((entity, text[s:e].lower()))) is not None:
-                        terms[s, e] = max(d, terms.get((s, e), 0.0))
-            out += [{"kind": "term", "start": s, "end": e, "base": False, "weight": d} for (s, e), d in terms.items()]
-            out.sort(key=lambda x: (x["start"], KINDS.index(x["kind"])))
-        return out
-
-    def mask(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else masked(t, spans_of(t), remove_at) for t in texts], dtype=object)
-
-    return common.small_batches(docs).withColumn(text_col, F.pandas_udf(mask, T.StringType())(F.col(text_col)))
-
-
-def sanitise_joined(docs: DataFrame, id_col: str, text_col: str, remove_at: float, **how) -> DataFrame:
-    found = find(docs, id_col, text_col, keep_text=True, **how)
+    """The rows of ``docs`` with personal data masked in the text; other columns as they were. Rows without any never meet Python again."""
+    found = materialize(find_base(docs, id_col, text_col, window, True), "pii-base")
+    held = disclosures(docs, found, text_col, generalise_at, min_contexts)
     fields = docs.schema.fields
     text_at = f"c{[f.name for f in fields].index(text_col)}"
-    mask = F.udf(lambda t, s: masked(t, [x.asDict() for x in s], remove_at), T.StringType())
-    text = F.when(F.size("spans") > 0, mask(F.col(text_at), F.col("spans"))).otherwise(F.col(text_at))
-    return found.withColumn(text_at, text).select(*[F.col(f"c{i}").alias(f.name) for i, f in enumerate(fields)])
+
+    def mask(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([masked(t, list(s), remove_at) for t, s in zip(texts, spans)], dtype=object)
+
+    near, rest = with_terms(found, held)
+    masked_text = F.pandas_udf(mask, T.StringType())(F.col(text_at), F.col("spans"))
+    parts = [near.withColumn(text_at, masked_text), rest.where(F.size("spans") > 0).withColumn(text_at, masked_text), rest.where(F.size("spans") == 0)]
+    names = [F.col(f"c{i}").alias(f.name) for i, f in enumerate(fields)]
+    return parts[0].select(*names).unionByName(parts[1].select(*names)).unionByName(parts[2].select(*names))
 
 
 def op1_pii(spark, sf_dir: str) -> DataFrame:
