@@ -9,8 +9,13 @@ Text: comments and the contents of script, style, noscript and template go; bloc
 character references are decoded; white space is collapsed and empty lines are dropped. What is cut off inside a tag,
 comment or script at the end of a page goes too.
 
+All patterns take time linear in the page, also where tags are never closed.
+
 Defined cases: null HTML is an empty page (its text is empty); a null address stays null; repeated rows give repeated
-records with the same ids; an empty table gives an empty result; other columns are ignored.
+records with the same ids; an empty table gives an empty result; other columns are ignored. A damaged record of a WARC
+file (no WARC line, no length, cut off, not decompressed) is a row that says so in ``problem``, and reading goes on
+at the next record that is whole; headers that come several times are joined by commas. A payload whose compression is
+damaged counts as far as it could be decompressed.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.mirror import open_path
 from . import common
 
 DATE = "2024-01-01T00:00:00Z"
@@ -42,14 +48,36 @@ BLOCK = re.compile(BLOCK_TAG, re.IGNORECASE | re.ASCII)
 ANY_TAG = "<[/!?a-zA-Z][^>]*(?:>|\\Z)"
 TAG = re.compile(ANY_TAG)
 SPACES, LINES = re.compile("[ \t\r\f\v]+"), re.compile(" ?\n[ \n]*")
+#: What is looked for; each start of a tag would look up to the end of the page, so pages are searched tag by tag instead.
 TITLE_TAG = "<title[^>]*>([^<]*)"
-TITLE = re.compile(TITLE_TAG, re.IGNORECASE | re.ASCII)
 LANGUAGE_TAG = "<html\\b[^>]*?\\blang=\"([^\"]*)\""
-LANGUAGE = re.compile(LANGUAGE_TAG, re.IGNORECASE | re.ASCII)
 CHARSET_TAG = "<meta\\b[^>]*?\\bcharset=\"?([\\w-]+)"
-CHARSET = re.compile(CHARSET_TAG, re.IGNORECASE | re.ASCII)
 LINK_TAG = "<a\\b[^>]*?\\bhref=\"([^\"]*)\""
-LINK = re.compile(LINK_TAG, re.IGNORECASE | re.ASCII)
+
+
+class Tags:
+    """``LANGUAGE_TAG`` and the like, one tag after another: what an open tag lacks up to its end, tags that start in it lack too."""
+
+    def __init__(self, tag: str, attribute: str, quoted: bool):
+        self.tag, self.attribute, self.quoted = re.compile(tag, re.IGNORECASE | re.ASCII), re.compile(attribute, re.IGNORECASE | re.ASCII), quoted
+
+    def values(self, page: str) -> Iterator[str]:
+        at, end = 0, -1
+        while m := self.tag.search(page, at):
+            if end < m.end():
+                end = page.find(">", m.end())
+                end = len(page) if end < 0 else end
+            at = end
+            if found := self.attribute.search(page, m.end(), end):
+                if not self.quoted:
+                    yield found[1]
+                elif (close := page.find('"', found.end())) >= 0:
+                    yield page[found.end() : close]
+                    at = close + 1
+
+
+LANGUAGE, CHARSET, LINK = Tags(r"<html\b", r'\blang="', True), Tags(r"<meta\b", r'\bcharset="?([\w-]+)', False), Tags(r"<a\b", r'\bhref="', True)
+TITLE = re.compile("<title", re.IGNORECASE | re.ASCII)
 
 RECORDS = T.StructType(
     [
@@ -85,17 +113,23 @@ def digest(data: bytes) -> str:
     return f"sha256:{hashlib.sha256(data).hexdigest()}"
 
 
-def found(pattern: re.Pattern, page: str) -> str:
-    m = pattern.search(page)
-    return collapsed(html.unescape(m[1])) if m else ""
+def title(page: str) -> str:
+    m = TITLE.search(page)
+    start = page.find(">", m.end()) + 1 if m else 0
+    end = page.find("<", start)
+    return collapsed(html.unescape(page[start : end if end >= 0 else len(page)])) if start else ""
+
+
+def first(tags: Tags, page: str) -> str:
+    return collapsed(html.unescape(next(tags.values(page), "")))
 
 
 def derive_one(record_id: str | None, headers: str, payload_digest: str, page: str) -> Iterator[tuple[str, str, str, bytes]]:
     """(type, id, content type, block) of both records."""
     conversion = derived_id(record_id, "conversion")
-    fields = [("title", found(TITLE, page)), ("language", found(LANGUAGE, page)), ("charset", found(CHARSET, page)), ("source-payload-digest", payload_digest), ("conversion", conversion)]
+    fields = [("title", title(page)), ("language", first(LANGUAGE, page)), ("charset", first(CHARSET, page)), ("source-payload-digest", payload_digest), ("conversion", conversion)]
     fields += [("source-header", line) for line in headers.splitlines() if line]
-    fields += [("outlink", html.unescape(link)) for link in LINK.findall(DROP.sub(" ", page))]
+    fields += [("outlink", html.unescape(link)) for link in LINK.values(DROP.sub(" ", page))]
     yield "metadata", derived_id(record_id, "metadata"), "application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in fields).encode("utf-8", "surrogatepass")
     yield "conversion", conversion, "text/plain; charset=utf-8", plain_text(page).encode("utf-8", "surrogatepass")
 
@@ -134,44 +168,109 @@ def responses_of_pages(pages: DataFrame, id_col: str = "page_id", url_col: str =
 # --- WARC files ---
 
 
-def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers in lower case, block) of each record of a plain or a compressed stream."""
-    head = stream.read(2)
-    rest = io.BufferedReader(Joined(head, stream))
-    stream = gzip.GzipFile(fileobj=rest) if head == b"\x1f\x8b" else rest
-    while line := stream.readline():
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError(f"not a WARC record: {line[:40]!r}")
+class Damaged(Exception):
+    pass
+
+
+class Bytes:
+    """The bytes of a plain or a compressed stream, a piece at a time. Damage is raised once; reading goes on behind it."""
+
+    MAGIC = b"\x1f\x8b\x08"
+
+    def __init__(self, stream):
+        self.stream, self.held, self.raw = stream, b"", stream.read(1 << 16)
+        self.packed = self.raw.startswith(self.MAGIC[:2])
+        self.member = None
+
+    def more(self) -> bool:
+        """Hold some more bytes; False at the end."""
+        if not self.raw:
+            self.raw = self.stream.read(1 << 16)
+        if not self.packed:
+            out, self.raw = self.raw, b""
+        else:
+            out = b""
+            while not out:
+                self.raw = self.raw or self.stream.read(1 << 16)
+                if not self.raw:
+                    cut, self.member = self.member is not None, None
+                    if cut:
+                        raise Damaged("the last member is cut off")
+                    return False
+                self.member = self.member or zlib.decompressobj(31)
+                try:
+                    out = self.member.decompress(self.raw, 1 << 20)
+                except zlib.error as e:
+                    self.skip()
+                    raise Damaged(f"not decompressed: {e}") from None
+                self.raw = self.member.unused_data if self.member.eof else self.member.unconsumed_tail
+                if self.member.eof:
+                    self.member = None
+        self.held += out
+        return bool(out)
+
+    def skip(self) -> None:
+        """To where the next member seems to start."""
+        self.member, raw = None, self.raw[1:]
+        while (at := raw.find(self.MAGIC)) < 0 and (new := self.stream.read(1 << 16)):
+            raw = raw[-2:] + new
+        self.raw = raw[at:] if at >= 0 else b""
+
+    def readline(self) -> bytes:
+        """Up to a line's end; at most 1 MB of a line."""
+        parts, size = [], 0
+        while True:
+            at = self.held.find(b"\n") + 1
+            part, self.held = (self.held[:at], self.held[at:]) if at else (self.held, b"")
+            parts.append(part)
+            size += len(part)
+            if at or size > 1 << 20 or not self.more():
+                return b"".join(parts)
+
+    def read(self, n: int) -> bytes:
+        parts = []
+        while n > 0 and (self.held or self.more()):
+            parts.append(self.held[:n])
+            self.held = self.held[n:]
+            n -= len(parts[-1])
+        if n > 0:
+            raise Damaged(f"{n} bytes are missing")
+        return b"".join(parts)
+
+
+def parse(stream) -> Iterator[tuple[dict[str, str], bytes | None, str | None]]:
+    """(headers in lower case, block, problem) of each record of a plain or a compressed stream."""
+    source, lost = Bytes(stream), False
+    while True:
         headers: dict[str, str] = {}
-        last = None
-        while (line := stream.readline().rstrip(b"\r\n")) != b"":
-            text = line.decode("utf-8", "replace")
-            if text[0] in " \t" and last:
-                headers[last] += " " + text.strip()
-                continue
-            name, _, value = text.partition(":")
-            last = name.strip().lower()
-            headers[last] = value.strip()
-        block = stream.read(int(headers.get("content-length", 0)))
-        yield headers, block
-
-
-class Joined(io.RawIOBase):
-    """What was read already, and then the rest."""
-
-    def __init__(self, head: bytes, rest):
-        self.head, self.rest = head, rest
-
-    def readable(self) -> bool:
-        return True
-
-    def readinto(self, b) -> int:
-        data = self.head[: len(b)] or self.rest.read(len(b)) or b""
-        self.head = self.head[len(data) :] if self.head else b""
-        b[: len(data)] = data
-        return len(data)
+        try:
+            line = source.readline()
+            if not line:
+                return
+            if not line.startswith(b"WARC/"):
+                if line.strip() and not lost:
+                    lost = True
+                    raise Damaged(f"not a WARC record: {line[:40]!r}")
+                continue  # up to the next record
+            lost, last = False, None
+            while (line := source.readline().rstrip(b"\r\n")) != b"":
+                text = line.decode("utf-8", "replace")
+                if text[0] in " \t" and last:
+                    headers[last] += " " + text.strip()
+                    continue
+                name, _, value = text.partition(":")
+                last = name.strip().lower()
+                headers[last] = f"{headers[last]}, {value.strip()}" if last in headers else value.strip()
+            length = headers.get("content-length", "")
+            if not (length.isascii() and length.isdigit()):
+                lost = True
+                raise Damaged(f"no length: {length!r}")
+            block = source.read(int(length))
+        except Damaged as e:
+            lost = True
+            yield headers, None, str(e)
+            continue
+        yield headers, block, None
 
 
 def serialise(headers: dict[str, str | None], block: bytes) -> bytes:
@@ -180,23 +279,57 @@ def serialise(headers: dict[str, str | None], block: bytes) -> bytes:
 
 
 def read(spark, path: str) -> DataFrame:
-    """(headers, block) of the records of WARC files, from any store that Spark reads; a file is one task."""
-    schema = T.StructType([T.StructField("headers", T.MapType(T.StringType(), T.StringType())), T.StructField("block", T.BinaryType())])
-    kind = pa.schema([("headers", pa.map_(pa.string(), pa.string())), ("block", pa.binary())])
+    """(headers, block, problem) of the records of WARC files, from any store that Spark reads; a file is one task.
+
+    Files are streamed where pyarrow knows the store too; otherwise Spark hands over the whole file, of 2 GB at most.
+    """
+    schema = T.StructType([T.StructField("headers", T.MapType(T.StringType(), T.StringType())), T.StructField("block", T.BinaryType()), T.StructField("problem", T.StringType())])
+    kind = pa.schema([("headers", pa.map_(pa.string(), pa.string())), ("block", pa.binary()), ("problem", pa.string())])
+    files = spark.read.format("binaryFile").load(path)
+    probe = files.select("path").first()
+    streamed = probe is not None and known_to_arrow(probe[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
-                held, size = [], 0
-                for headers, block in parse(io.BytesIO(content.as_buffer())):
-                    held.append((list(headers.items()), block))
-                    size += len(block)
-                    if size > 8 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in held], kind[0].type), pa.array([b for _, b in held], kind[1].type)], schema=kind)
-                        held, size = [], 0
-                yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in held], kind[0].type), pa.array([b for _, b in held], kind[1].type)], schema=kind)
+            for file in batch.column(0):
+                with opened(file.as_py()) if streamed else io.BytesIO(file.as_buffer()) as stream:
+                    held, size = [], 0
+                    for headers, block, problem in parse(stream):
+                        held.append((list(headers.items()), block, problem))
+                        size += len(block or b"")
+                        if size > 8 << 20:
+                            yield rows(held)
+                            held, size = [], 0
+                    yield rows(held)
+
+    def rows(held: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([h[i] for h in held], f.type) for i, f in enumerate(kind)], schema=kind)
+
+    return common.small_batches(files.select("path" if streamed else "content")).mapInArrow(run, schema)
+
+
+def known_to_arrow(path: str) -> bool:
+    try:
+        open_path(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+    return True
+
+
+def opened(path: str):
+    store, base = open_path(path)
+    return store.open_input_stream(base, compression=None)
+
 
-    return common.small_batches(spark.read.format("binaryFile").load(path).select("content")).mapInArrow(run, schema)
+def unzipped(data: bytes) -> bytes:
+    """As far as it goes."""
+    out, member = [], zlib.decompressobj(31)
+    try:
+        for a in range(0, len(data), 1 << 14):
+            out.append(member.decompress(data[a : a + (1 << 14)]))
+    except zlib.error:
+        pass
+    return b"".join(out)
 
 
 def responses(records: DataFrame) -> DataFrame:
@@ -210,7 +343,7 @@ def responses(records: DataFrame) -> DataFrame:
             head, _, payload = block.partition(b"\r\n\r\n")
             http = head.decode("iso-8859-1") + "\r\n"
             if re.search(r"(?im)^content-encoding:\s*gzip", http):
-                payload = zlib.decompressobj(31).decompress(payload)
+                payload = unzipped(payload)
             charset = re.search(r"(?im)^content-type:.*charset=\"?([\w-]+)", http)
             try:
                 page = payload.decode(charset[1] if charset else "utf-8", "replace")
@@ -220,7 +353,8 @@ def responses(records: DataFrame) -> DataFrame:
                 out[c].append(v)
         return out
 
-    return common.map_batches(records.where(F.col("headers")["warc-type"] == "response"), run, schema)
+    whole = F.col("block").isNotNull() & (F.col("headers")["warc-type"] == "response")
+    return common.map_batches(records.where(whole), run, schema)
 
 
 def write(records: DataFrame, path: str) -> DataFrame:
