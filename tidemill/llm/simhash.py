@@ -3,9 +3,11 @@
 Fingerprints (64 bits) link at ``radius`` or fewer differing bits; components of links are the groups. Every
 different fingerprint is handled once, however many documents share it.
 
-Links are found among fingerprints that agree in one of radius + 1 blocks of bits: two that differ in ``radius``
-bits at most agree in a block, so no link is lost, and pairs aren't enumerated over the whole corpus (a pivot table
-alone would have to). Inside a block's group the pivot table decides: the Hamming distances of each fingerprint to
+Links are found among fingerprints that agree in some blocks of bits: of radius + s blocks, two that differ in
+``radius`` bits at most agree in s, so with a key for each choice of s blocks no link is lost, and pairs aren't
+enumerated over the whole corpus (a pivot table alone would have to). s is the least number for which a key's groups
+have ``GROUP`` fingerprints on average, so comparisons grow about as the corpus does: s = 1 makes 5 keys of 12 bits, s = 2
+15 of 20, s = 3 35 of 27, s = 4 70 of 32. Inside a group the pivot table decides: the Hamming distances of each fingerprint to
 ``PIVOTS`` reference fingerprints are computed once, a pair whose distances to any reference differ by more than the
 radius is discarded (triangle inequality), and what survives is verified bit by bit. A group walks breadth-first
 over fingerprints that aren't reached yet, so a dense group of near copies costs about its size, and only a forest
@@ -21,12 +23,14 @@ the component of rows whose ids are all null is null; other columns are ignored;
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +40,10 @@ from .graph import components
 
 SHINGLE, SEED = 4, 42
 PIVOTS = 24
+#: Fingerprints of a group on average, if their bits were even.
+GROUP = 16
+#: Copies of a fingerprint, one for each key; 70 serve 10^11 fingerprints.
+MOST_KEYS = 300
 #: Groups up to this size compare all their rows of the table at once.
 SMALL = 128
 BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -124,13 +132,27 @@ def forest(fps: np.ndarray, radius: int, pivots: np.ndarray) -> list[tuple[int,
     return out
 
 
-def links(fps: DataFrame, radius: int = 4) -> DataFrame:
-    """(a, b): links that connect what lies within the radius, a forest for each block of bits."""
-    n = radius + 1
-    width = -(-64 // n)
-    blocks = [(i * width, min(64, (i + 1) * width)) for i in range(n)]
-    keys = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value")) for i, (a, b) in enumerate(blocks)])
-    rows = fps.select("fp", F.explode(keys).alias("k")).select((F.col("k.value") * n + F.col("k.block")).alias("key"), "fp")
+def agreeing(n: int, radius: int) -> list[tuple[tuple[int, int], ...]]:
+    """For each key, its blocks of bits (from, to): one key for each choice of as many blocks as must agree, for n fingerprints."""
+    for s in range(1, 65 - radius):
+        cuts = [64 * i // (radius + s) for i in range(radius + s + 1)]
+        blocks = list(zip(cuts, cuts[1:]))
+        keys = list(combinations(blocks, s))
+        if n <= GROUP << min(sum(b - a for a, b in key) for key in keys) or comb(radius + s + 1, s + 1) > MOST_KEYS:
+            return keys
+
+
+def links(fps: DataFrame, n: int, radius: int = 4) -> DataFrame:
+    """(a, b): links that connect what lies within the radius, a forest for each group of a key. ``n``: how many there are, or about."""
+    keys = agreeing(n, radius)
+
+    def value(blocks: tuple[tuple[int, int], ...]) -> Column:
+        out = F.lit(0).cast("long")
+        for a, b in blocks:
+            out = F.shiftleft(out, b - a).bitwiseOR(F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)))
+        return out
+
+    rows = fps.select("fp", F.posexplode(F.array(*[value(k) for k in keys])).alias("i", "value")).select((F.col("value") * len(keys) + F.col("i")).alias("key"), "fp")
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
     pivots = references()
 
@@ -139,7 +161,7 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
         open_key = None
 
         def close() -> list[tuple[int, int]]:
-            return forest(np.sort(np.concatenate(held).view(np.uint64)), radius, pivots)
+            return forest(np.sort(np.concatenate(held).view(np.uint64)), radius, pivots) if sum(map(len, held)) > 1 else []
 
         def batch_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
             a = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
@@ -150,13 +172,16 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
             key, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(key):
                 continue
-            cut = np.flatnonzero(np.diff(key)) + 1
-            for k, part in zip(key[np.r_[0, cut]].tolist(), np.split(fp, cut)):
+            starts = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+            ends = np.append(starts[1:], len(key))
+            # a fingerprint alone in its group has no link; the first and the last group may go on in other batches
+            for i in np.unique(np.concatenate([np.flatnonzero(ends - starts > 1), [0, len(starts) - 1]])).tolist():
+                k = int(key[starts[i]])
                 if k != open_key:
                     if held:
                         found += close()
                     held, open_key = [], k
-                held.append(part)
+                held.append(fp[starts[i] : ends[i]])
             yield batch_of(found)
         if held:
             yield batch_of(close())
@@ -167,7 +192,7 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
 def groups(prints: DataFrame, radius: int = 4) -> DataFrame:
     """(fp, component_id): the smallest id of the component, for every different fingerprint of ``prints`` (id, fp)."""
     distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("first")), "fps")
-    labels = components(links(distinct.select("fp"), radius))
+    labels = components(links(distinct.select("fp"), distinct.count(), radius))
     labelled = distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     return labelled.join(smallest, "label").select("fp", "component_id")
