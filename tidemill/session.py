@@ -54,10 +54,10 @@ def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table that ``materialize`` has returned, once nothing reads it any more."""
+def discard(df: DataFrame, part: str | None = None) -> None:
+    """Delete a table that ``materialize`` has returned, or a value's folder of it, once nothing reads it any more."""
     spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.work_path)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{df.work_path}/{part}" if part else df.work_path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
