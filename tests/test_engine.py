@@ -30,7 +30,7 @@ class Space:
     def __init__(self, spark, tmp, **table):
         self.spark, self.tmp, self.remote = spark, tmp, tmp / "remote"
         (self.remote / "EM").mkdir(parents=True)
-        self.table = Table("tw", "em", patterns.Patterns((PATTERN,)), **table)
+        self.table = Table("tw", "em", patterns.Patterns((PATTERN,)), **({"checks": (checks.WeekdayCalendar(),)} | table))
         self.dataset = Dataset(Feed("tw", Remote(), "0 7 * * *", {"EM": str(self.remote / "EM")}, exclude=r"^em\.csv$"), (self.table,), schema_dir=tmp / "schemas")
 
     def put(self, name, content):
@@ -428,6 +428,11 @@ def test_archives(spark, tmp_path):
 # --- calendars, checks, runs ---
 
 
+def test_no_guess_at_sessions(spark):
+    with pytest.raises(ValueError, match="no sessions of XLON"):
+        checks.Exchange().days(spark, date(2026, 9, 1), date(2026, 9, 9))
+
+
 def test_calendars(spark):
     days = lambda c, a, b: [r["d"].day for r in c.days(spark, a, b).orderBy("d").collect()]
     assert days(Weekdays((date(2026, 9, 8),)), date(2026, 9, 4), date(2026, 9, 9)) == [4, 7, 9]
@@ -551,6 +556,43 @@ def test_profile_nested(spark, tmp_path):
     assert schema["em__coupons"]["columns"]["on"]["data_type"] == "date" and schema["em"]["columns"]["issuer__name"]["data_type"] == "text"
 
 
+def test_tries_locks_and_sensor(spark, tmp_path):
+    from tidemill.plans import engine as plans
+
+    tried, waits = [], []
+
+    def fails(times):
+        tried.append(1)
+        if len(tried) <= times:
+            raise OSError("away")
+        return "done"
+
+    assert plans.Again(2, 120)("x", lambda: fails(2), waits.append) == "done" and waits == [120, 120]
+    tried.clear()
+    with pytest.raises(OSError):
+        plans.Again(1, 60)("x", lambda: fails(9), waits.append)
+    assert len(tried) == 2
+    lock = plans.Lock(spark, f"file://{tmp_path}/f.lock")
+    with lock.held():
+        with pytest.raises(plans.Busy):
+            plans.Lock(spark, f"file://{tmp_path}/f.lock").take()
+    plans.Lock(spark, f"file://{tmp_path}/f.lock").take()  # free again
+    plans.Lock(spark, f"file://{tmp_path}/f.lock", stale=-1).take()  # left behind
+    now, pending = [0.0], [{"run_key": "a"}]
+    planned = type("E", (), {"dataset": type("D", (), {"tables": ("t",)}), "plan": lambda self, t: list(pending)})()
+    sensor = plans.Sensor(planned, interval=1, clock=lambda: now[0])
+    assert [r["run_key"] for _, r in sensor.look()] == ["a"]
+    pending.append({"run_key": "b"})
+    now[0] = 299
+    assert sensor.look() == []
+    now[0] = 300
+    assert [r["run_key"] for _, r in sensor.look()] == ["b"]
+    with pytest.raises(ValueError, match="TIDEMILL_TARGET"):
+        plans.engine_from(spark, Dataset(Feed("g", Remote(), "", {"a": "/x"})), {"TIDEMILL_LANDING": "/a"})
+    made = plans.engine_from(spark, Dataset(Feed("g", Remote(), "", {"a": "/x"})), {f"TIDEMILL_{k}": f"file://{tmp_path}/{k}" for k in ("LANDING", "TARGET", "MANIFEST")} | {"TIDEMILL_SMTP_HOST": "mail", "TIDEMILL_SMTP_TO": "a@b.example"})
+    assert made.notifier.server.host == "mail" and made.notifier.recipients == "a@b.example"
+
+
 def test_propose_sizes(spark):
     def of(*facts, **options):
         rows = [{"name": str(i), "rows": 2, "nulls": 0, "reasons": [], "declared": [], "int_digits": 0, "frac_digits": 0, "zoned": False, "fraction_digits": 0, "varied": False} | f for i, f in enumerate(facts)]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import nest
-from .merge import DAY, ContractError, ReplaceDay, Upsert, WriteResult, conform, new_columns, survivors
+from .merge import DAY, ContractError, ReplaceDay, Upsert, WriteResult, Writer, conform, new_columns, survivors
 
 #: Column types by database, where Spark's own choice can't be compared or indexed (fixed values).
 TEXT = {"derby": "VARCHAR(32672)", "sqlserver": "NVARCHAR(4000)"}
@@ -154,3 +154,13 @@ class JdbcWriter:
         for k, v in new.items():
             if k not in held:
                 self.run(c, f"ALTER TABLE {self.quoted(name)} ADD COLUMN {self.quoted(k)} {v}")
+
+
+def writer_to(destination: str, writer: Writer) -> Writer | JdbcWriter:
+    """The writer for where tables go: a database, if it is a JDBC address, else Parquet tables below a folder.
+
+    Writers of one's own stay as they are.
+    """
+    if type(writer) is Writer and destination.startswith("jdbc:"):
+        return JdbcWriter(destination, writer.merge, writer.max_nesting)
+    return writer

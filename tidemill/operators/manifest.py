@@ -50,6 +50,26 @@ def where(files: DataFrame, condition: Column, **values: Column) -> DataFrame:
     return files.withColumns({c: F.when(condition, v).otherwise(F.col(c)) for c, v in values.items()})
 
 
+def where_in(files: DataFrame, ids: DataFrame | Iterable[int], **values: Column) -> DataFrame:
+    """``values`` for the rows with these ids, which are joined: any number of a table's (id), or some that are given."""
+    if not isinstance(ids, DataFrame):
+        ids = files.sparkSession.createDataFrame([(int(i),) for i in ids], "id long")
+    chosen = ids.select(F.col("id").alias("_chosen")).distinct()
+    marked = files.join(chosen, F.col("id") == F.col("_chosen"), "left")
+    return where(marked, F.col("_chosen").isNotNull(), **values).drop("_chosen")
+
+
+def numbered(rows: DataFrame, order: list[str], first_id: int) -> DataFrame:
+    """Rows with ids from ``first_id`` on in an order: sorted in ranges, each of which starts where those before it end."""
+    placed = rows.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}).persist()
+    starts, at = [], first_id
+    for r in sorted(placed.groupBy("_part").count().collect()):  # a row for each range
+        starts.append((r["_part"], at))
+        at += r["count"]
+    offsets = rows.sparkSession.createDataFrame(starts, "_part int, _start long")
+    return placed.join(F.broadcast(offsets), "_part").withColumn("id", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+
+
 def active(table: str) -> Column:
     return (F.col("table") == table) & (F.col("status") == DOWNLOADED)
 
@@ -90,8 +110,7 @@ def add_members(files: DataFrame, members: DataFrame, first_id: int) -> DataFram
     """A row for each of ``members`` (parent_id, member, member_size, member_sha256); the archives become expanded."""
     new = members.select(F.col("parent_id").alias("_parent"), F.col("member").alias("_member"), "member_size", "member_sha256")
     found = files.drop("parent_id", "member").join(new, F.col("id") == F.col("_parent"))
-    numbered = found.withColumn("id", F.row_number().over(W.orderBy("_parent", "_member")) + F.lit(first_id - 1))
-    rows = numbered.withColumns(
+    rows = numbered(found, ["_parent", "_member"], first_id).withColumns(
         {
             "remote_path": F.concat_ws("!", "remote_path", "_member"),
             "path": F.concat_ws("!", "path", "_member"),
@@ -120,8 +139,8 @@ def active_with_identity(files: DataFrame, identity: str, exclude_id: int) -> Da
     return files.where((F.col("identity") == identity) & (F.col("status") == DOWNLOADED) & (F.col("id") != exclude_id)).select("id", "sha256")
 
 
-def set_status(files: DataFrame, ids: Iterable[int], status: str) -> DataFrame:
-    return where(files, F.col("id").isin(list(ids)), status=F.lit(status))
+def set_status(files: DataFrame, ids: DataFrame | Iterable[int], status: str) -> DataFrame:
+    return where_in(files, ids, status=F.lit(status))
 
 
 def files_for(files: DataFrame, table: str, start: date, end: date | None = None) -> DataFrame:
@@ -135,9 +154,9 @@ def pending_days(files: DataFrame, table: str) -> DataFrame:
     return rows.groupBy("business_date").agg(F.max("id").alias("newest_id")).orderBy("business_date")
 
 
-def mark_loaded(files: DataFrame, ids: Iterable[int], load_id: str, at: Column | None = None) -> DataFrame:
+def mark_loaded(files: DataFrame, ids: DataFrame | Iterable[int], load_id: str, at: Column | None = None) -> DataFrame:
     now = F.localtimestamp() if at is None else at
-    return where(files, F.col("id").isin(list(ids)), loaded_at=now, load_id=F.lit(load_id))
+    return where_in(files, ids, loaded_at=now, load_id=F.lit(load_id))
 
 
 def file_counts(files: DataFrame, table: str, since: date) -> DataFrame:
@@ -155,7 +174,7 @@ def reload(files: DataFrame, table: str, start: date, end: date | None = None) -
     return where(files, due, **none), files.where(due).count()
 
 
-def ignore(files: DataFrame, ids: Iterable[int]) -> DataFrame:
+def ignore(files: DataFrame, ids: DataFrame | Iterable[int]) -> DataFrame:
     """Take files out of loading; data that they brought stays."""
     return set_status(files, ids, IGNORED)
 

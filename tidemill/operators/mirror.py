@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import paths
+from .manifest import numbered
 
 NEW, REVISION, UNCHANGED, IGNORED = "new", "revision", "unchanged", "ignored"
 
@@ -133,7 +133,7 @@ def open_by_fsspec(url: str, protocol: str, options: dict):
 
 def number(rows: DataFrame, first_id: int) -> DataFrame:
     """Ids for new rows, in the order of their paths. Only the rows that a run finds new are ordered."""
-    return rows.withColumn("id", (F.row_number().over(W.orderBy("path")) + F.lit(first_id - 1)).cast("long"))
+    return numbered(rows, ["path"], first_id)
 
 
 def modification_time(info: dict) -> str | None:

@@ -127,10 +127,10 @@ def ops_reclassify(spark, sf_dir):
     return files.select("id", F.col("table").alias("table_key"), "identity", "status")
 
 
-@query(f"with {MF} select id, case when id % 10 = 0 then 'L' else case when loaded then 'load' end end as load_id from mf where id < 500")
+@query(f"with {MF} select id, case when id % 10 = 0 then 'L' else case when loaded then 'load' end end as load_id from mf")
 def mark_loaded(spark, sf_dir):
-    files = events_manifest(spark, sf_dir).where("id < 500")
-    return m.mark_loaded(files, range(0, 500, 10), "L").select("id", "load_id")
+    files = events_manifest(spark, sf_dir)
+    return m.mark_loaded(files, files.select("id").where("id % 10 = 0"), "L").select("id", "load_id")
 
 
 @query(f"""with {MF}, new as (select max(id) + 1 as id, remote_path from mf where business_date = date '2024-01-30' group by 2)
@@ -145,17 +145,17 @@ def manifest_record(spark, sf_dir):
     return m.record(files, new.select(*m.SCHEMA.names)).select("id", "remote_path", "status")
 
 
-@query("""with a as (select page_id, 'web' as subset, url from pages where page_id % 10 = 0), members as (select page_id, 'm' || i::varchar || '.csv' as member, i from a cross join range(3) t(i))
+@query("""with a as (select page_id, 'web' as subset, url from pages), members as (select page_id, 'm' || i::varchar || '.csv' as member, i from a cross join range(3) t(i))
 select 'expanded' as status, page_id as id, 'web/' || page_id::varchar as path, null::bigint as parent_id from a
-union all select 'downloaded', 100000 + row_number() over (order by page_id, member) - 1, 'web/' || page_id::varchar || '!' || member, page_id from members""")
+union all select 'downloaded', (select max(page_id) from pages) + row_number() over (order by page_id, member), 'web/' || page_id::varchar || '!' || member, page_id from members""")
 def expand_archives(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").where("page_id % 10 = 0")
+    pages = table(spark, sf_dir, "pages")
     base = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in m.SCHEMA}
     base |= {"id": F.col("page_id").alias("id"), "feed": F.lit("f").alias("feed"), "subset": F.lit("web").alias("subset"), "remote_path": F.col("url").alias("remote_path"), "path": F.concat(F.lit("web/"), F.col("page_id").cast("string")).alias("path"), "status": F.lit(m.DOWNLOADED).alias("status")}
     files = pages.select(*[base[f.name].cast(f.dataType).alias(f.name) for f in m.SCHEMA])
     members = pages.select(F.col("page_id").alias("parent_id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("i"))
     members = members.select("parent_id", F.concat(F.lit("m"), F.col("i").cast("string"), F.lit(".csv")).alias("member"), F.lit(1).alias("member_size"), F.lit("x").alias("member_sha256"))
-    return m.add_members(files, members, 100_000).select("status", "id", "path", "parent_id")
+    return m.add_members(files, members, files.agg(F.max("id")).first()[0] + 1).select("status", "id", "path", "parent_id")
 
 
 @query(f"""with {MF}, today as (select id, remote_path, remote_mtime, size from mf where business_date = date '2024-01-10' qualify row_number() over (partition by remote_path order by id desc) = 1),
@@ -372,44 +372,47 @@ ISLANDS = """p as (select {key} as key, max(o_orderkey) as newest_id from (selec
 n as (select key, newest_id, {ordinal} - row_number() over (order by key) as island from p), c as (select *, (row_number() over (partition by island order by key) - 1) // {most} as chunk from n)"""
 
 
+def pending_orders(spark, sf_dir) -> DataFrame:
+    """Pending days of a manifest in which every order is a file, and a third of them are loaded."""
+    o = table(spark, sf_dir, "orders")
+    made = {"id": F.col("o_orderkey"), "table": F.lit("orders"), "status": F.lit(m.DOWNLOADED), "business_date": F.to_date("o_orderdate"), "loaded_at": F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate"))}
+    return m.pending_days(o.select(*[v.alias(k) for k, v in made.items()]), "orders")
+
+
 @query("with " + ISLANDS.format(key="d", ordinal="(key - date '1970-01-04')", most=31) + " select min(key) as start, max(key) as \"end\", max(newest_id) as newest_id from c group by island, chunk")
 def pending_ranges(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0")
-    days = o.groupBy(F.to_date("o_orderdate").alias("business_date")).agg(F.max("o_orderkey").alias("newest_id"))
-    return planning.Daily("1990-01-01").runs(days)
+    return planning.Daily("1990-01-01").runs(pending_orders(spark, sf_dir))
 
 
 @query("with " + ISLANDS.format(key="date_trunc('month', d)::date", ordinal="(year(key) * 12 + month(key))", most=12) + " select 'orders/' || min(key)::varchar || '/' || max(key)::varchar || '/' || max(newest_id)::varchar as run_key from c group by island, chunk having max(newest_id) % 2 = 0")
 def run_keys_not_issued(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0")
-    days = o.groupBy(F.to_date("o_orderdate").alias("business_date")).agg(F.max("o_orderkey").alias("newest_id"))
-    runs = planning.run_keys(planning.Monthly("1990-01-01").runs(days), "orders")
+    runs = planning.run_keys(planning.Monthly("1990-01-01").runs(pending_orders(spark, sf_dir)), "orders")
     return planning.not_issued(runs, runs.where("newest_id % 2 <> 0")).select("run_key")
 
 
 # --- loads ---
 
 
-@query("""with t as (select o_orderkey, o_totalprice, o_orderdate::date as _business_date from orders), i as (select o_orderkey, round(o_totalprice * 2, 2) as o_totalprice, _business_date from t where _business_date between date '1996-03-01' and date '1996-03-31' and o_orderkey % 2 = 0)
+@query("""with t as (select o_orderkey, o_totalprice, o_orderdate::date as _business_date from orders), i as (select o_orderkey, round(o_totalprice * 2, 2) as o_totalprice, _business_date from t where _business_date between date '1996-03-01' and date '1996-03-31')
 select * from t where _business_date not in (select _business_date from i) union all select * from i""")
 def replace_by_day(spark, sf_dir):
     target = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("_business_date"))
-    incoming = target.where("_business_date between date '1996-03-01' and date '1996-03-31' and o_orderkey % 2 = 0").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 2, 2))
+    incoming = target.where("_business_date between date '1996-03-01' and date '1996-03-31'").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 2, 2))
     return merge.replace_day(target, incoming)
 
 
-@query("""with i as (select o_custkey, o_totalprice, o_orderkey as _source_file from orders where o_custkey % 4 = 0 qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1)
+@query("""with i as (select o_custkey, o_totalprice, o_orderkey as _source_file from orders qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1)
 select c_custkey, c_acctbal from (select c_custkey, c_acctbal from customer where c_custkey not in (select o_custkey from i) union all select o_custkey, o_totalprice from i)""")
 def upsert_by_key(spark, sf_dir):
     target = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    incoming = table(spark, sf_dir, "orders").where("o_custkey % 4 = 0").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"), F.col("o_orderkey").alias("_source_file"))
+    incoming = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"), F.col("o_orderkey").alias("_source_file"))
     return merge.upsert(target, incoming, ("c_custkey",)).select("c_custkey", "c_acctbal")
 
 
-@query("select p_partkey, p_name, null::double as p_discount from part where p_partkey % 2 = 0 union all select p_partkey, p_name, p_retailprice / 2 from part where p_partkey % 2 = 1")
+@query("select p_partkey, p_name, null::double as p_discount from part union all select p_partkey, p_name, p_retailprice / 2 from part")
 def evolve_columns(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    target, incoming = part.where("p_partkey % 2 = 0").drop("p_retailprice"), part.where("p_partkey % 2 = 1").select("p_partkey", "p_name", (F.col("p_retailprice") / 2).alias("p_discount"))
+    target, incoming = part.drop("p_retailprice"), part.select("p_partkey", "p_name", (F.col("p_retailprice") / 2).alias("p_discount"))
     merge.check_contract(target.schema, incoming.schema)
     return target.unionByName(incoming, allowMissingColumns=True)
 
@@ -677,6 +680,24 @@ def propose_column(spark, sf_dir):
     return table(spark, sf_dir, "events").select("user_id").distinct().select("user_id", propose.data_type_of(kinds).alias("data_type"))
 
 
+@query("""with f as (select user_id, user_id % 5 as u, min(value) as a, max(value) as z, count(*) as n, sum(case when value > 50 then 1 else 0 end) as nulls, (user_id % 4)::int as frac, (user_id % 7)::int as whole from events group by 1)
+select user_id::varchar as name, case u when 0 then 'bigint' when 1 then 'double' when 2 then 'text' when 3 then 'timestamp' else 'text' end as data_type, nulls > 0 as nullable,
+  case u when 0 then case when greatest(abs(a), abs(z)) * 10 < 32768 then 16 when greatest(abs(a), abs(z)) * 10 < 2147483648 then 32 end when 2 then case when whole = 0 then 20 when ceil(whole * 9 * 1.5) <= 20 then 20 when ceil(whole * 9 * 1.5) <= 50 then 50 else 100 end when 3 then case frac when 0 then null when 3 then 3 else 7 end end::int as precision,
+  case when u = 3 then whole > 3 end as timezone,
+  case u when 1 then 'would fit decimal(' || (whole + 2 + frac) || ',' || frac || '), see --decimals' when 2 then 'no type holds all of: bigint, text' when 4 then 'there were no values' end as description from f""")
+def propose_sizes(spark, sf_dir):
+    """Facts of a column for each user: kinds by the user, numbers from the values."""
+    u, kinds_of = F.col("user_id") % 5, (("bigint",), ("bigint", "decimal"), ("bigint", "text"), ("date", "timestamp"), ())
+    kinds = F.array().cast("array<string>")
+    for i, names in enumerate(kinds_of[:4]):
+        kinds = F.when(u == i, F.array(*map(F.lit, names))).otherwise(kinds)
+    frac, whole = (F.col("user_id") % 4).cast("int"), (F.col("user_id") % 7).cast("int")
+    each = table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("value").alias("min"), F.max("value").alias("max"), F.count("*").alias("rows"), F.count_if(F.col("value") > 50).alias("nulls"))
+    made = {"name": F.col("user_id").cast("string"), "kinds": kinds, "reasons": F.array(), "declared": F.array(), "int_digits": whole, "frac_digits": frac, "zoned": whole > 3, "fraction_digits": frac, "min_len": F.lit(0), "max_len": whole * 9, "varied": F.lit(True)}
+    facts = each.select(*[made.get(f.name, F.col(f.name) if f.name in each.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in propose.FACTS])
+    return propose.propose(facts, typing.Options(narrow=True, strict_nulls=True)).select("name", "data_type", "nullable", "precision", "timezone", "description")
+
+
 @query(f"with {VALUES}, e as (select key_set, key, count(*) as f from held group by 1, 2), r as (select key_set, round(count(*) filter (f > 1) / count(*), 4) as ratio from e group by 1) select key_set, case when ratio >= 0.5 then 'Upsert' else 'ReplaceDay' end as merge from r")
 def suggest_merge(spark, sf_dir):
     return keys.recurrence(order_values(spark, sf_dir), 80).select("key_set", propose.merge_of(F.col("repeat_ratio"), F.lit(80)).alias("merge"))
