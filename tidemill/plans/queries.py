@@ -738,6 +738,29 @@ def lag_days(spark, sf_dir):
     return got.select("subset", "files", "least_lag", "most_lag", "most_files", "weekdays")
 
 
+@query("""select 'x.csv: no subset folder below discovery root' as caveat union all select 'O/em-2020-02-31.csv: date-shaped value ''2020-02-31'' is invalid'
+union all select 'some files have missing or unparseable mtimes; schedule and lag evidence excludes them'""")
+def discovery_caveats(spark, sf_dir):
+    odd = spark.createDataFrame([("/in/x.csv",), ("/in/O/em-2020-02-31.csv",)], "path string").withColumns({"mtime": F.lit(None).cast("timestamp"), "size": F.lit(1).cast("long")})
+    return discover.caveats(discover.shaped(listing(spark, sf_dir).unionByName(odd), "/in"))
+
+
+@query("""select event_id, epoch_ms(case user_id % 4 when 0 then ts when 1 then ts when 2 then ts - interval 2 hour end)::bigint as ms from (select *, date_trunc('second', ts) as s from events) x(event_id, ts0, user_id, event_type, value, props, ts)""")
+def tolerant_mtimes(spark, sf_dir):
+    """Texts with Z, without a zone, two hours east, and no time at all."""
+    e, at = table(spark, sf_dir, "events"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    u = F.col("user_id") % 4
+    text = F.when(u == 0, F.concat(at, F.lit("Z"))).when(u == 1, at).when(u == 2, F.concat(at, F.lit("+02:00"))).otherwise(F.concat(F.lit("on "), at))
+    return e.select("event_id", F.unix_millis(discover.parse_mtime(text)).alias("ms"))
+
+
+@query("""select page_id, regexp_matches(path, '^in/[0-9]*[02468]\\.zip') or regexp_matches(path, '^old/') as expands from (select page_id, case when page_id % 3 = 0 then 'old/' else 'in/' end || page_id::varchar || '.zip' as path from pages)""")
+def archive_patterns(spark, sf_dir):
+    path = F.concat(F.when(F.col("page_id") % 3 == 0, "old/").otherwise("in/"), F.col("page_id").cast("string"), F.lit(".zip"))
+    source = patterns.Patterns((r"(\d+)",), archives=(r"^in/\d*[02468]\.zip", "^old/"))
+    return table(spark, sf_dir, "pages").select("page_id", source.expands(path).alias("expands"))
+
+
 @query("select '^em\\.csv$' as pattern union all select '^w\\.txt$'")
 def exclude_candidates(spark, sf_dir):
     return discover.exclude_candidates(discover.shaped(listing(spark, sf_dir), "/in"))
