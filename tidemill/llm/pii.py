@@ -146,9 +146,9 @@ def evidence_of(near: list[tuple[str, int, int, list[tuple[int, int]]]], terms:
         yield entity, term, context, n
 
 
-def find_base(docs: DataFrame, id_col: str, text_col: str, window: int, keep_text: bool) -> DataFrame:
-    """(uid, id, n_lines, spans, hits, evidence[, rest of the row]): base spans, and the terms near them."""
-    kept = docs.schema.fields if keep_text else []
+def find_base(docs: DataFrame, id_col: str, text_col: str, window: int, keep_rows: bool) -> DataFrame:
+    """(uid, id, n_lines, spans, hits, evidence[, row]): base spans, and the terms near them; the columns of a row that has any as c0, c1, ..."""
+    kept = docs.schema.fields if keep_rows else []
     named = {f"c{i}": f for i, f in enumerate(kept)}
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(f"`{f.name}`").alias(c) for c, f in named.items() if f.name not in (id_col, text_col)])
     own = {c: {id_col: "id", text_col: "text"}.get(f.name, c) for c, f in named.items()}
@@ -160,9 +160,11 @@ def find_base(docs: DataFrame, id_col: str, text_col: str, window: int, keep_tex
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             found = of(batch.column("text").to_pylist())
-            # columns that are only carried stay as they are
             columns = [pa.array(range(uid, uid + batch.num_rows), pa.int64()), batch.column("id"), *[pa.array(x, target.field(n).type) for n, x in zip(("n_lines", "spans", "hits", "evidence"), found)]]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*columns, *[batch.column(own[c]) for c in named]], target)], schema=target)
+            # rows without hits leave theirs behind
+            places = pa.array([i if h else None for i, h in enumerate(found[2])], pa.int64())
+            columns += [batch.column(own[c]).take(places) for c in named]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, target)], schema=target)
             uid += batch.num_rows
 
     def of(texts: list[str | None]) -> tuple[list, list, list, list]:
@@ -216,7 +218,7 @@ def term_lines(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
 
         def likely(term: str) -> bool:
             if (x := known.get(term)) is None:
-                if len(known) > 1_000_000:
+                if len(known) > 200_000:
                     known.clear()
                 x = known[term] = all(int(bits[i >> 6]) >> (i & 63) & 1 for i in bloom_places(term.encode("utf-8", "surrogatepass")))
             return x
@@ -226,7 +228,7 @@ def term_lines(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 for line in (text or "").split("\n"):
                     count.update(t for t in set(TERM.findall(line.lower())) if likely(t))
-            if len(count) > 500_000:
+            if len(count) > 100_000:
                 yield pa.RecordBatch.from_pydict({"term": list(count), "n_t": list(count.values())}, schema=pa.schema([("term", pa.string()), ("n_t", pa.int64())]))
                 count.clear()
         yield pa.RecordBatch.from_pydict({"term": list(count), "n_t": list(count.values())}, schema=pa.schema([("term", pa.string()), ("n_t", pa.int64())]))
@@ -254,26 +256,25 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str, generalise_at:
 
 def terms_of(found: DataFrame, held: DataFrame) -> DataFrame:
     """(uid, more): the spans of disclosing terms, for rows that have any."""
-    hits = found.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
+    hits = found.select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
     terms = hits.join(held, ["entity", "term"]).groupBy("uid", "start", "end").agg(F.max("disclosure").alias("weight"))
     return terms.groupBy("uid").agg(F.collect_list(F.struct(F.lit("term").alias("kind"), "start", "end", F.lit(False).alias("base"), "weight")).alias("more"))
 
 
-def with_terms(found: DataFrame, held: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Rows that have terms near an entity, with disclosing terms among their spans; and the other rows."""
-    near, rest = found.where(F.size("hits") > 0), found.where(F.size("hits") == 0)
-    if held is not None:
-        place = "2 * sign(a.start - b.start) + sign(array_position({0}, a.kind) - array_position({0}, b.kind))".format("array({})".format(", ".join(f"'{k}'" for k in KINDS)))
-        merged = F.when(F.col("more").isNull(), F.col("spans")).otherwise(F.expr(f"array_sort(concat(spans, more), (a, b) -> cast({place} as int))"))
-        near = near.join(terms_of(found, held), "uid", "left").withColumn("spans", merged).drop("more")
-    return tuple(f.drop("uid", "hits", "n_lines", "evidence") for f in (near, rest))
+def with_terms(near: DataFrame, held: DataFrame | None) -> DataFrame:
+    """Rows of ``find_base`` that have hits, with disclosing terms among their spans."""
+    if held is None:
+        return near
+    place = "2 * sign(a.start - b.start) + sign(array_position({0}, a.kind) - array_position({0}, b.kind))".format("array({})".format(", ".join(f"'{k}'" for k in KINDS)))
+    merged = F.when(F.col("more").isNull(), F.col("spans")).otherwise(F.expr(f"array_sort(concat(spans, more), (a, b) -> cast({place} as int))"))
+    return near.join(terms_of(near, held), "uid", "left").withColumn("spans", merged).drop("more")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, min_contexts: int = 3, generalise_at: float = 0.8) -> DataFrame:
     """(id, spans) for every row. A span: kind (email, ip, card, phone, term), start, end (code points), base, weight (disclosure of a term)."""
     found = materialize(find_base(docs, id_col, text_col, window, False), "pii-base")  # also pins the uids
-    near, rest = with_terms(found, disclosures(docs, found, text_col, generalise_at, min_contexts))
-    return near.unionByName(rest)
+    near = with_terms(found.where(F.size("hits") > 0), disclosures(docs, found, text_col, generalise_at, min_contexts))
+    return near.select("id", "spans").unionByName(found.where(F.size("hits") == 0).select("id", "spans"))
 
 
 def masked(text: str | None, spans: list[dict], remove_at: float) -> str | None:
@@ -290,20 +291,33 @@ def masked(text: str | None, spans: list[dict], remove_at: float) -> str | None:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, min_contexts: int = 3, generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
-    """The rows of ``docs`` with personal data masked in the text; other columns as they were. Rows without any never meet Python again."""
+    """The rows of ``docs`` with personal data masked in the text; other columns as they were.
+
+    Rows with terms near an entity are kept from the first reading, for the join with disclosing pairs; all others are
+    masked as they are read again. Which a row is depends on its text alone.
+    """
     found = materialize(find_base(docs, id_col, text_col, window, True), "pii-base")
     held = disclosures(docs, found, text_col, generalise_at, min_contexts)
-    fields = docs.schema.fields
-    text_at = f"c{[f.name for f in fields].index(text_col)}"
+    names = docs.columns
+    at = names.index(text_col)
+    target = to_arrow_schema(docs.schema)
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, texts = [], []
+            for i, text in enumerate(batch.column(at).to_pylist()):
+                base = base_spans(text or "")
+                if not any(places for *_, places in near_terms(text or "", base, window)):
+                    kept.append(i)
+                    texts.append(masked(text, [{"kind": KINDS[k], "start": s, "end": e, "base": True} for s, k, e, _ in base], remove_at))
+            columns = [pa.array(texts, f.type) if i == at else c.take(pa.array(kept, pa.int64())).cast(f.type) for i, (c, f) in enumerate(zip(batch.columns, target))]
+            yield pa.RecordBatch.from_arrays(columns, schema=target)
 
     def mask(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([masked(t, list(s), remove_at) for t, s in zip(texts, spans)], dtype=object)
 
-    near, rest = with_terms(found, held)
-    masked_text = F.pandas_udf(mask, T.StringType())(F.col(text_at), F.col("spans"))
-    parts = [near.withColumn(text_at, masked_text), rest.where(F.size("spans") > 0).withColumn(text_at, masked_text), rest.where(F.size("spans") == 0)]
-    names = [F.col(f"c{i}").alias(f.name) for i, f in enumerate(fields)]
-    return parts[0].select(*names).unionByName(parts[1].select(*names)).unionByName(parts[2].select(*names))
+    near = with_terms(found.where(F.size("hits") > 0), held).withColumn(f"c{at}", F.pandas_udf(mask, T.StringType())(F.col(f"c{at}"), F.col("spans")))
+    return near.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)]).unionByName(common.small_batches(docs).mapInArrow(rest, docs.schema))
 
 
 def op1_pii(spark, sf_dir: str) -> DataFrame:
