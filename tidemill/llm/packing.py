@@ -41,7 +41,7 @@ CUT_CLASSES = 32
 NEARLY = 0.99
 END = 1
 #: Words that a worker remembers: about 65 MB.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 #: Letters between ASCII marks, which are pieces of their own; apostrophes are left out, as they bind letters.
 ENDS = frozenset(bytes([c]) for c in b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')
 FRAMED = re.compile(r"^(?:([!-&(-/:-@\[-`{-~]*)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)|(.*))$", re.MULTILINE)
